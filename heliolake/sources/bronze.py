@@ -122,15 +122,18 @@ def read_inverter_list(spark: SparkSession, path: str, multi_line: bool = False)
 
 def read_raw_landing(spark: SparkSession, path: str) -> DataFrame:
     """Payloads whose shape is not known (S10): one row per file with the whole text, the
-    file path, and a validity flag; fields are reached later with ``get_json_object``.
+    file path, the parsed document as a VARIANT (``try_parse_json``: NULL when the body is
+    not JSON) and a validity flag; fields are reached later with ``variant_get`` or
+    ``get_json_object``.
 
     Each file is one document of one inverter-day, so ``wholetext`` stays bounded by the
     size of one API response.
     """
-    df = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+    df = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     return (df.withColumnRenamed("value", "payload")
               .withColumn("source_file", F.input_file_name())
-              .withColumn("is_json", F.get_json_object("payload", "$").isNotNull()))
+              .withColumn("doc", F.try_parse_json("payload"))
+              .withColumn("is_json", F.col("doc").isNotNull()))
 
 
 def landing_path(root: str, table: str) -> str:
