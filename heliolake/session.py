@@ -27,6 +27,8 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.json.filterPushdown.enabled": "true",
+    # listing jobs: one task per ~N folders instead of one per folder
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
 }
 
 

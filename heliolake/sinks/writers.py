@@ -17,8 +17,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_day(df: DataFrame, path: str, partition_cols: Sequence[str] = ("dt",),
-              max_records_per_file: int = 5_000_000, fmt: str = "parquet") -> None:
-    """Idempotent overwrite of the partitions present in ``df`` (K1)."""
+              max_records_per_file: int = 5_000_000, fmt: str = "parquet",
+              spread_days: bool = False) -> None:
+    """Idempotent overwrite of the partitions present in ``df`` (K1).
+
+    ``spread_days`` is for small outputs such as per-day aggregates: after a shuffle AQE
+    coalesces tiny partitions into one task, which would then commit every day folder
+    by itself; a fixed-count hash repartition on the partition columns (which AQE does
+    not coalesce) spreads the days over ``spark.sql.shuffle.partitions`` tasks. Never
+    used for fact tables, which are written without any shuffle.
+    """
+    if spread_days:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(n, *partition_cols)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", max_records_per_file)

@@ -15,20 +15,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from heliolake import schemas
-from heliolake.sources.tables import day_filter, day_range_filter
+from heliolake.sources.tables import day_filter, day_folders, day_range_filter
 
 
 def _read_json(spark: SparkSession, root: str, schema: StructType, multi_line: bool = False,
-               glob: str | None = None) -> DataFrame:
+               glob: str | None = None, dt=None, start=None, end=None) -> DataFrame:
+    """Explicit-schema JSON scan of a ``dt=`` partitioned landing, restricted to the day
+    window by folder before any file is listed (see ``tables.day_folders``)."""
     reader = (spark.read.schema(schema)
               .option("mode", "PERMISSIVE")
-              .option("basePath", root)
-              .option("recursiveFileLookup", "false"))
+              .option("basePath", root))
     if multi_line:
         reader = reader.option("multiLine", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.json(root)
+    folders = day_folders(spark, root, dt, start, end)
+    if folders is None:
+        df = reader.json(root)
+    elif folders:
+        df = reader.json(folders)
+    else:
+        return spark.createDataFrame([], schema)
+    return _days(df, dt, start, end)
 
 
 def _days(df: DataFrame, dt=None, start=None, end=None) -> DataFrame:
@@ -43,22 +51,19 @@ def read_inverter_bronze(spark: SparkSession, root: str, dt=None, start=None, en
                          multi_line: bool = False) -> DataFrame:
     """Inverter telemetry documents (S1): ``data.telemetries`` + path ids ``site_id``,
     ``inv_id`` and ``dt``. ``dt`` selects one day; ``start``/``end`` a half-open range."""
-    df = _read_json(spark, root, schemas.INVERTER_BRONZE, multi_line, glob="*.json")
-    return _days(df, dt, start, end)
+    return _read_json(spark, root, schemas.INVERTER_BRONZE, multi_line, "*.json", dt, start, end)
 
 
 def read_inventory_bronze(spark: SparkSession, root: str, dt=None, start=None, end=None,
                           multi_line: bool = False) -> DataFrame:
     """Site inventory documents (S2): ``Inventory.inverters`` + path ``site_id``, ``dt``."""
-    df = _read_json(spark, root, schemas.INVENTORY_BRONZE, multi_line, glob="*.json")
-    return _days(df, dt, start, end)
+    return _read_json(spark, root, schemas.INVENTORY_BRONZE, multi_line, "*.json", dt, start, end)
 
 
 def read_sites_bronze(spark: SparkSession, root: str, dt=None, start=None, end=None,
                       multi_line: bool = False) -> DataFrame:
     """Site list snapshot pages (S3): ``sites.count`` + ``sites.site`` + path ``dt``."""
-    df = _read_json(spark, root, schemas.SITES_BRONZE, multi_line, glob="*.json")
-    return _days(df, dt, start, end)
+    return _read_json(spark, root, schemas.SITES_BRONZE, multi_line, "*.json", dt, start, end)
 
 
 def merge_pages(sites_bronze: DataFrame) -> DataFrame:

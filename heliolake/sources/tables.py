@@ -1,4 +1,12 @@
-"""Silver / gold Parquet tables partitioned by ``dt``."""
+"""Silver / gold Parquet tables partitioned by ``dt``.
+
+Day windows are resolved to partition folders *before* the scan: one listing of the
+table root gives the ``dt=`` folder names, the window keeps the wanted ones, and only
+those folders are handed to the reader (with ``basePath`` so ``dt`` stays a column).
+A path-based table otherwise lists every file of every day when the DataFrame is
+created, which for years of history costs more than the day being processed. The
+``dt`` predicate is still applied on top, so results never depend on the listing.
+"""
 
 from __future__ import annotations
 
@@ -16,6 +24,12 @@ def _lit_day(d) -> Column:
     return F.lit(str(d))
 
 
+def _day_str(d) -> str:
+    if isinstance(d, (_dt.date, _dt.datetime)):
+        return d.strftime("%Y-%m-%d")
+    return str(d)
+
+
 def day_filter(d, column: str = "dt") -> Column:
     """``dt = 'd'`` (F1). ``dt`` is a string partition value, so this is partition pruning."""
     return F.col(column) == _lit_day(d)
@@ -29,17 +43,71 @@ def day_range_filter(column: str | Column, start, end) -> Column:
     return (c >= _lit_day(start)) & (c < _lit_day(end))
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def day_folders(spark: SparkSession, root: str, dt=None, start=None, end=None,
+                column: str = "dt") -> list[str] | None:
+    """Partition folders of ``root`` inside the window, from a single listing of the root
+    (names only, no file listing). ``None`` when no window is given."""
+    if dt is None and (start is None or end is None):
+        return None
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    prefix = f"{column}="
+    lo, hi = (_day_str(dt), None) if dt is not None else (_day_str(start), _day_str(end))
+    keep = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if not (st.isDirectory() and name.startswith(prefix)):
+            continue
+        v = name[len(prefix):]
+        if (hi is None and v == lo) or (hi is not None and lo <= v < hi):
+            keep.append(st.getPath().toString())
+    return sorted(keep)
+
+
+def _window_filter(dt=None, start=None, end=None, column: str = "dt") -> Column | None:
+    if dt is not None:
+        return day_filter(dt, column)
+    if start is not None and end is not None:
+        return day_range_filter(column, start, end)
+    return None
+
+
+def read_parquet_window(spark: SparkSession, root: str, dt=None, start=None, end=None
+                        ) -> DataFrame:
+    """A ``dt`` partitioned Parquet table restricted to one day or ``[start, end)``; only
+    ``*.parquet`` objects are read (S7). An empty window gives an empty DataFrame with
+    the table's schema."""
+    folders = day_folders(spark, root, dt, start, end)
+    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    if folders:
+        df = reader.option("basePath", root).parquet(*folders)
+    else:
+        df = reader.parquet(root)
+    cond = _window_filter(dt, start, end)
+    return df.filter(cond) if cond is not None else df
+
+
 def read_table(spark: SparkSession, path: str, dt=None) -> DataFrame:
-    """One day of a ``dt``-partitioned Parquet table (S4), only ``*.parquet`` objects."""
-    df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
-    return df.filter(day_filter(dt)) if dt is not None else df
+    """One day of a ``dt``-partitioned Parquet table (S4), or the whole table."""
+    return read_parquet_window(spark, path, dt=dt)
 
 
 def read_table_range(spark: SparkSession, path: str, start, end) -> DataFrame:
     """Days in ``[start, end)`` (S5) in one scan: a single distributed plan over the range
     instead of one job per day."""
-    df = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
-    return df.filter(day_range_filter("dt", start, end))
+    return read_parquet_window(spark, path, start=start, end=end)
 
 
 def repair_partitions(spark: SparkSession, table: str) -> None:
