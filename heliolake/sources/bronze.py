@@ -19,7 +19,8 @@ from heliolake.sources.tables import day_filter, day_folders, day_range_filter
 
 
 def _read_json(spark: SparkSession, root: str, schema: StructType, multi_line: bool = False,
-               glob: str | None = None, dt=None, start=None, end=None) -> DataFrame:
+               glob: str | None = None, dt=None, start=None, end=None,
+               days=None) -> DataFrame:
     """Explicit-schema JSON scan of a ``dt=`` partitioned landing, restricted to the day
     window by folder before any file is listed (see ``tables.day_folders``)."""
     reader = (spark.read.schema(schema)
@@ -29,17 +30,19 @@ def _read_json(spark: SparkSession, root: str, schema: StructType, multi_line: b
         reader = reader.option("multiLine", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    folders = day_folders(spark, root, dt, start, end)
+    folders = day_folders(spark, root, dt, start, end, days=days)
     if folders is None:
         df = reader.json(root)
     elif folders:
         df = reader.json(folders)
     else:
         return spark.createDataFrame([], schema)
-    return _days(df, dt, start, end)
+    return _days(df, dt, start, end, days)
 
 
-def _days(df: DataFrame, dt=None, start=None, end=None) -> DataFrame:
+def _days(df: DataFrame, dt=None, start=None, end=None, days=None) -> DataFrame:
+    if days is not None:
+        return df.filter(F.col("dt").isin([str(d) for d in days]))
     if dt is not None:
         return df.filter(day_filter(dt))
     if start is not None and end is not None:
@@ -48,22 +51,22 @@ def _days(df: DataFrame, dt=None, start=None, end=None) -> DataFrame:
 
 
 def read_inverter_bronze(spark: SparkSession, root: str, dt=None, start=None, end=None,
-                         multi_line: bool = False) -> DataFrame:
+                         multi_line: bool = False, days=None) -> DataFrame:
     """Inverter telemetry documents (S1): ``data.telemetries`` + path ids ``site_id``,
     ``inv_id`` and ``dt``. ``dt`` selects one day; ``start``/``end`` a half-open range."""
-    return _read_json(spark, root, schemas.INVERTER_BRONZE, multi_line, "*.json", dt, start, end)
+    return _read_json(spark, root, schemas.INVERTER_BRONZE, multi_line, "*.json", dt, start, end, days)
 
 
 def read_inventory_bronze(spark: SparkSession, root: str, dt=None, start=None, end=None,
-                          multi_line: bool = False) -> DataFrame:
+                          multi_line: bool = False, days=None) -> DataFrame:
     """Site inventory documents (S2): ``Inventory.inverters`` + path ``site_id``, ``dt``."""
-    return _read_json(spark, root, schemas.INVENTORY_BRONZE, multi_line, "*.json", dt, start, end)
+    return _read_json(spark, root, schemas.INVENTORY_BRONZE, multi_line, "*.json", dt, start, end, days)
 
 
 def read_sites_bronze(spark: SparkSession, root: str, dt=None, start=None, end=None,
-                      multi_line: bool = False) -> DataFrame:
+                      multi_line: bool = False, days=None) -> DataFrame:
     """Site list snapshot pages (S3): ``sites.count`` + ``sites.site`` + path ``dt``."""
-    return _read_json(spark, root, schemas.SITES_BRONZE, multi_line, "*.json", dt, start, end)
+    return _read_json(spark, root, schemas.SITES_BRONZE, multi_line, "*.json", dt, start, end, days)
 
 
 def merge_pages(sites_bronze: DataFrame) -> DataFrame:

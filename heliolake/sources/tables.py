@@ -55,9 +55,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def day_folders(spark: SparkSession, root: str, dt=None, start=None, end=None,
-                column: str = "dt") -> list[str] | None:
-    """Partition folders of ``root`` inside the window, from a single listing of the root
-    (names only, no file listing). ``None`` when no window is given."""
+                column: str = "dt", days=None) -> list[str] | None:
+    """Partition folders of ``root`` inside the window (one day, ``[start, end)`` or an
+    explicit set of ``days``), from a single listing of the root (names only, no file
+    listing). ``None`` when no window is given."""
+    if days is not None:
+        wanted = {_day_str(d) for d in days}
+        fs, p = _fs(spark, root)
+        if not fs.exists(p) or not wanted:
+            return []
+        prefix = f"{column}="
+        return sorted(st.getPath().toString() for st in fs.listStatus(p)
+                      if st.isDirectory() and st.getPath().getName().startswith(prefix)
+                      and st.getPath().getName()[len(prefix):] in wanted)
     if dt is None and (start is None or end is None):
         return None
     fs, p = _fs(spark, root)
@@ -76,7 +86,10 @@ def day_folders(spark: SparkSession, root: str, dt=None, start=None, end=None,
     return sorted(keep)
 
 
-def _window_filter(dt=None, start=None, end=None, column: str = "dt") -> Column | None:
+def _window_filter(dt=None, start=None, end=None, column: str = "dt",
+                   days=None) -> Column | None:
+    if days is not None:
+        return F.col(column).isin([_day_str(d) for d in days])
     if dt is not None:
         return day_filter(dt, column)
     if start is not None and end is not None:
@@ -84,18 +97,18 @@ def _window_filter(dt=None, start=None, end=None, column: str = "dt") -> Column
     return None
 
 
-def read_parquet_window(spark: SparkSession, root: str, dt=None, start=None, end=None
-                        ) -> DataFrame:
+def read_parquet_window(spark: SparkSession, root: str, dt=None, start=None, end=None,
+                        days=None) -> DataFrame:
     """A ``dt`` partitioned Parquet table restricted to one day or ``[start, end)``; only
     ``*.parquet`` objects are read (S7). An empty window gives an empty DataFrame with
     the table's schema."""
-    folders = day_folders(spark, root, dt, start, end)
+    folders = day_folders(spark, root, dt, start, end, days=days)
     reader = spark.read.option("pathGlobFilter", "*.parquet")
     if folders:
         df = reader.option("basePath", root).parquet(*folders)
     else:
         df = reader.parquet(root)
-    cond = _window_filter(dt, start, end)
+    cond = _window_filter(dt, start, end, days=days)
     return df.filter(cond) if cond is not None else df
 
 
