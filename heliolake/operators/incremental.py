@@ -40,6 +40,13 @@ def empty_cursor(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], CURSOR)
 
 
+def known_keys(items: DataFrame, index: DataFrame, key: str = "site_id",
+               known: bool = True) -> DataFrame:
+    """Membership test ``key in index`` (F4): ``left_semi`` keeps items whose key is in
+    the index, ``left_anti`` (``known=False``) the new ones. Neither multiplies rows."""
+    return items.join(index.select(key).distinct(), key, "left_semi" if known else "left_anti")
+
+
 def cursor_read(cursor: DataFrame, key: str = "site_id") -> DataFrame:
     """Latest position per key (C2): the row with the highest ``seq``."""
     return (cursor.groupBy(key)

@@ -255,6 +255,13 @@ def q_missing_user_days(spark, sf):
     return _iso(incremental.missing_work(expected, landed, keys=("user_id", "day")), "day")
 
 
+def q_known_users(spark, sf):
+    """Customers that are already in the event index (F4, ``site_id in index``)."""
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("site_id"), "c_name")
+    idx = table(spark, sf, "events").select(F.col("user_id").alias("site_id"))
+    return incremental.known_keys(c, idx).select(F.col("site_id").alias("c_custkey"), "c_name")
+
+
 def _customer_sites(spark, sf) -> DataFrame:
     c, n, r = (table(spark, sf, "customer"), table(spark, sf, "nation"),
                table(spark, sf, "region"))
@@ -417,6 +424,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_catch_up": q_user_catch_up,
     "work_list": q_work_list,
     "missing_user_days": q_missing_user_days,
+    "known_users": q_known_users,
     "compose_address": q_compose_address,
     "geocode_match": q_geocode_match,
     "geocode_reject": q_geocode_reject,

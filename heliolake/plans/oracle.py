@@ -225,6 +225,8 @@ ORACLE_SQL: dict[str, str] = {
         "CAST(f AS TIMESTAMP), CAST(l AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day FROM u) "
         "SELECT user_id, strftime(day, '%Y-%m-%d') AS day FROM e WHERE NOT EXISTS (SELECT 1 FROM events v WHERE "
         "v.user_id = e.user_id AND CAST(v.ts AS DATE) = e.day)"),
+    "known_users": ("SELECT c_custkey, c_name FROM customer WHERE EXISTS "
+                    "(SELECT 1 FROM events WHERE events.user_id = customer.c_custkey)"),
     "compose_address": f"WITH {_SITES} SELECT c_custkey, query_address FROM sites",
     "geocode_match": (f"WITH {_SITES}, {_LOOKUP} SELECT c_custkey, sites.query_address, "
                       "address, latitude, longitude FROM sites JOIN lk "

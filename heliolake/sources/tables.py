@@ -123,6 +123,16 @@ def read_table_range(spark: SparkSession, path: str, start, end) -> DataFrame:
     return read_parquet_window(spark, path, start=start, end=end)
 
 
+def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
+    """Expose a ``dt`` partitioned folder as a catalog table (external, data stays where it
+    is) and register its partitions, so SQL users and partition pruning through the
+    catalog see the same data as path readers."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source=fmt)
+    repair_partitions(spark, name)
+    return spark.table(name)
+
+
 def repair_partitions(spark: SparkSession, table: str) -> None:
     """Register partitions written straight to storage (S8): ``MSCK REPAIR TABLE``.
 

@@ -83,3 +83,10 @@ def test_work_list_and_missing(spark):
 def test_run_marker(spark):
     m = inc.run_marker(spark, dt.datetime(2024, 1, 2, 3, 4, 5)).first()
     assert m["site_id"] == "now" and m["last_date"] == dt.date(2024, 1, 2)
+
+
+def test_known_keys(spark):
+    items = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "site_id string, v int")
+    idx = spark.createDataFrame([("a",), ("a",), ("c",)], "site_id string")
+    assert sorted(r[0] for r in inc.known_keys(items, idx).collect()) == ["a", "c"]
+    assert [r[0] for r in inc.known_keys(items, idx, known=False).collect()] == ["b"]

@@ -132,3 +132,16 @@ def test_sites_csv(spark, tmp_path):
     back = spark.read.option("header", True).csv(f"{tmp_path}/csv")
     assert back.columns == ["name", "peak power", "address", "latitude", "longitude"]
     assert back.first()["name"] == "אתר"
+
+
+def test_register_table_and_repair(spark, tmp_path):
+    from heliolake.sources.tables import register_table
+    path = f"{tmp_path}/tbl"
+    write_day(spark.createDataFrame([("2024-01-01", 1)], "dt string, v int"), path)
+    t = register_table(spark, "hl_reg_test", path)
+    assert t.count() == 1
+    write_day(spark.createDataFrame([("2024-01-02", 2)], "dt string, v int"), path)
+    register_table(spark, "hl_reg_test", path)  # new day registered by repair
+    spark.catalog.refreshTable("hl_reg_test")
+    assert spark.table("hl_reg_test").count() == 2
+    spark.sql("DROP TABLE hl_reg_test")
