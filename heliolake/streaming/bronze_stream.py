@@ -31,8 +31,8 @@ def refresh_days(spark: SparkSession, layout: P.Layout, days: list[str]) -> None
     if not days:
         return
     P.run_silver(spark, layout, days=days)
-    P.run_gold(spark, layout, days=days)
-    P.run_export(spark, layout, days=days)
+    gold = P.run_gold(spark, layout, days=days)
+    P.run_export(spark, layout, days=days, gold=gold)
 
 
 def _touched_days(batch: DataFrame) -> list[str]:
