@@ -48,10 +48,16 @@ def land_bronze_json(df: DataFrame, root: str,
        .json(root))
 
 
+_STANDARD_CHARSETS = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32",
+                      "utf-8"}
+
+
 def write_sites_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """Header CSV of site locations (K4). UTF-8 by default; a legacy single-byte charset
-    such as windows-1255 needs ``spark.sql.legacy.javaCharsets=true`` and then writes '?'
-    for characters it cannot map."""
+    such as windows-1255 switches on ``spark.sql.legacy.javaCharsets`` for the session and
+    then writes '?' for characters it cannot map, like the original export."""
+    if encoding.lower() not in _STANDARD_CHARSETS:
+        df.sparkSession.conf.set("spark.sql.legacy.javaCharsets", "true")
     (df.write.mode("overwrite").option("header", "true").option("encoding", encoding)
        .csv(path))
 

@@ -145,3 +145,12 @@ def test_register_table_and_repair(spark, tmp_path):
     spark.catalog.refreshTable("hl_reg_test")
     assert spark.table("hl_reg_test").count() == 2
     spark.sql("DROP TABLE hl_reg_test")
+
+
+def test_sites_csv_legacy_charset(spark, tmp_path):
+    import glob
+    df = spark.createDataFrame([("אתר א", 1.0), ("Café ü", 2.0)], "name string, v double")
+    write_sites_csv(df.coalesce(1), f"{tmp_path}/cp", encoding="windows-1255")
+    raw = b"".join(open(f, "rb").read() for f in sorted(glob.glob(f"{tmp_path}/cp/*.csv")))
+    assert "אתר א".encode("cp1255") in raw
+    assert b"Caf? ?" in raw  # unmappable characters replaced
