@@ -41,6 +41,7 @@ EVENTS_AS_OF = "2024-01-21"
 RANGE_START, RANGE_END = "2024-01-10", "2024-01-20"
 CATCH_UP_AS_OF = "2024-01-31"
 WORK_START, WORK_END = "2024-01-01", "2024-01-08"
+GOLD_RANGE_START, GOLD_RANGE_END = "1996-01-01", "1997-01-01"
 ROUND_AVG = 6
 
 
@@ -111,6 +112,34 @@ def q_export_long(spark, sf):
     return export_ops.export_timeseries(q_gold_inverters(spark, sf))
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint location (``spark.checkpoint.dir``)."""
+    import uuid
+
+    from heliolake.session import checkpoint_dir
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def q_silver_from_landing(spark, sf):
+    """K2 + S1 round trip: land the telemetry documents as JSON Lines partitioned by day,
+    read them back with the explicit-schema bronze reader and flatten to silver."""
+    from heliolake.sinks import land_bronze_json
+    from heliolake.sources import read_inverter_bronze
+    root = _scratch(spark, "landing")
+    land_bronze_json(telemetry_bronze(table(spark, sf, "lineitem")), root, partition_cols=("dt",))
+    return silver_ops.flatten_telemetry(read_inverter_bronze(spark, root))
+
+
+def q_gold_day_range(spark, sf):
+    """K1 + S5 round trip: write gold with the day overwrite, read ``[start, end)`` back."""
+    from heliolake.sinks import write_day
+    from heliolake.sources import read_table_range
+    path = _scratch(spark, "gold")
+    write_day(q_gold_inverters(spark, sf), path, distribute="rebalance")
+    return read_table_range(spark, path, GOLD_RANGE_START, GOLD_RANGE_END) \
+        .select(*GOLD_INVERTER_COLUMNS, "dt")
+
+
 # ----------------------------------------------------------------------------------
 # operator probes
 # ----------------------------------------------------------------------------------
@@ -407,6 +436,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_inverters": q_gold_inverters,
     "gold_agg": q_gold_agg,
     "export_long": q_export_long,
+    "silver_from_landing": q_silver_from_landing,
+    "gold_day_range": q_gold_day_range,
     "events_range_clean": q_events_range_clean,
     "lineitem_group_avg": q_lineitem_group_avg,
     "phase_ops": q_phase_ops,

@@ -166,6 +166,9 @@ ORACLE_SQL: dict[str, str] = {
     "gold_inverters": _gold_sql(),
     "gold_agg": _agg_sql(),
     "export_long": _export_sql(),
+    "silver_from_landing": _silver_sql(),
+    "gold_day_range": (f"WITH g AS ({_gold_sql()}) SELECT * FROM g WHERE dt >= "
+                       f"'{d.GOLD_RANGE_START}' AND dt < '{d.GOLD_RANGE_END}'"),
     "events_range_clean": _events_rule_sql(),
     "lineitem_group_avg": (
         "SELECT l_returnflag, l_linestatus, "

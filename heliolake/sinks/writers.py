@@ -18,18 +18,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 def write_day(df: DataFrame, path: str, partition_cols: Sequence[str] = ("dt",),
               max_records_per_file: int = 5_000_000, fmt: str = "parquet",
-              spread_days: bool = False) -> None:
+              distribute: str | None = None) -> None:
     """Idempotent overwrite of the partitions present in ``df`` (K1).
 
-    ``spread_days`` is for small outputs such as per-day aggregates: after a shuffle AQE
-    coalesces tiny partitions into one task, which would then commit every day folder
-    by itself; a fixed-count hash repartition on the partition columns (which AQE does
-    not coalesce) spreads the days over ``spark.sql.shuffle.partitions`` tasks. Never
-    used for fact tables, which are written without any shuffle.
+    ``distribute`` says how rows reach the writing tasks:
+
+    * ``None`` (default): as they are. Right when the input is already clustered by day
+      (bronze and silver files each hold one day), so no shuffle is spent.
+    * ``"rebalance"``: a ``REBALANCE`` hint on the partition columns for large input that
+      is not clustered by day. AQE sizes the write tasks from runtime statistics and
+      splits a skewed day (one day holding a third of the rows) over many tasks.
+    * ``"hash"``: a fixed-count hash repartition on the partition columns, for small
+      outputs such as per-day aggregates: AQE would coalesce those into one task that then
+      commits every day folder by itself, and a fixed count is never coalesced.
     """
-    if spread_days:
+    if distribute == "rebalance":
+        df = df.hint("rebalance", *partition_cols)
+    elif distribute == "hash":
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartition(n, *partition_cols)
+    elif distribute is not None:
+        raise ValueError(f"distribute must be None, 'rebalance' or 'hash', not {distribute!r}")
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", max_records_per_file)
@@ -39,9 +48,14 @@ def write_day(df: DataFrame, path: str, partition_cols: Sequence[str] = ("dt",),
 
 
 def land_bronze_json(df: DataFrame, root: str,
-                     partition_cols: Sequence[str] = ("dt", "site_id", "inv_id")) -> None:
+                     partition_cols: Sequence[str] = ("dt", "site_id", "inv_id"),
+                     rebalance: bool = True) -> None:
     """Land documents as JSON Lines under ``dt=/site_id=/inv_id=`` (K2). Spark names the
-    files itself (no ':' from a time of day, which Hadoop paths reject)."""
+    files itself (no ':' from a time of day, which Hadoop paths reject). Documents come
+    from any source order, so they are rebalanced on the partition columns first (AQE
+    sizes the tasks and splits hot days)."""
+    if rebalance:
+        df = df.hint("rebalance", *partition_cols)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols)
