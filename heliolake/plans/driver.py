@@ -42,6 +42,8 @@ RANGE_START, RANGE_END = "2024-01-10", "2024-01-20"
 CATCH_UP_AS_OF = "2024-01-31"
 WORK_START, WORK_END = "2024-01-01", "2024-01-08"
 GOLD_RANGE_START, GOLD_RANGE_END = "1996-01-01", "1997-01-01"
+SNAPSHOT_DAY = "1998-06-01"
+CHECKS_AS_OF = "1998-06-02"
 ROUND_AVG = 6
 
 
@@ -112,6 +114,63 @@ def q_export_long(spark, sf):
     return export_ops.export_timeseries(q_gold_inverters(spark, sf))
 
 
+def sites_bronze(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """One site-list document per supplier (site), located by its nation and region; the
+    snapshot day is ``SNAPSHOT_DAY``. Nation and region are the fixed-size dimensions."""
+    s = (supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+                 .join(region, nation.n_regionkey == region.r_regionkey))
+    loc = F.struct(
+        F.col("n_name").alias("address"),
+        F.when(F.col("s_acctbal") < 0,
+               F.concat(F.lit("Suite "), F.col("s_suppkey").cast("string"))).alias("address2"),
+        F.col("r_name").alias("city"), F.col("n_name").alias("country"),
+        F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("countryCode"),
+        F.lit("UTC").alias("timeZone"),
+        F.lpad(F.col("s_suppkey").cast("string"), 9, "0").alias("zip"))
+    site = F.struct(
+        F.col("s_nationkey").cast("long").alias("accountId"),
+        F.col("s_suppkey").alias("id"),
+        F.concat((F.col("s_nationkey") + 2000).cast("string"), F.lit("-01-01"))
+         .alias("installationDate"),
+        F.col("s_name").alias("name"), F.lit("").alias("notes"),
+        F.col("s_acctbal").alias("peakPower"),
+        F.when(F.col("s_acctbal") >= 0, F.lit("Active")).otherwise(F.lit("Pending"))
+         .alias("status"),
+        F.lit("Optimizers & Inverters").alias("type"), loc.alias("location"))
+    return s.select(F.struct(F.lit(1).cast("long").alias("count"),
+                             F.array(site).alias("site")).alias("sites"),
+                    F.lit(SNAPSHOT_DAY).alias("dt"))
+
+
+def inventory_bronze(part: DataFrame) -> DataFrame:
+    """One inventory document per part: site = brand, one inverter = the part."""
+    inv = F.struct(F.col("p_brand").alias("manufacturer"), F.col("p_type").alias("model"),
+                   F.col("p_name").alias("name"), F.col("p_partkey").cast("string").alias("SN"))
+    return part.select(F.struct(F.array(inv).alias("inverters")).alias("Inventory"),
+                       F.lit(SNAPSHOT_DAY).alias("dt"), F.col("p_brand").alias("site_id"))
+
+
+def q_silver_sites(spark, sf):
+    return silver_ops.flatten_sites(sites_bronze(table(spark, sf, "supplier"),
+                                                 table(spark, sf, "nation"),
+                                                 table(spark, sf, "region")))
+
+
+def q_gold_sites(spark, sf):
+    return gold_ops.gold_sites(q_silver_sites(spark, sf))
+
+
+def q_silver_inventory(spark, sf):
+    return silver_ops.flatten_inventory(inventory_bronze(table(spark, sf, "part")))
+
+
+def q_silver_checks(spark, sf):
+    """The eight silver checks (Q1-Q8) on the three silver views, one report (Q9)."""
+    return quality.report(quality.silver_checks(
+        q_silver_inverters(spark, sf), q_silver_inventory(spark, sf),
+        q_silver_sites(spark, sf), CHECKS_AS_OF))
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location (``spark.checkpoint.dir``)."""
     import uuid
@@ -420,6 +479,17 @@ def q_power_series(spark, sf):
     return kpi.power_series(doc)
 
 
+def q_energy_series(spark, sf):
+    """Every embedding as an energy series document, 15-minute points."""
+    emb = table(spark, sf, "embeddings")
+    base = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    values = F.transform("embedding", lambda x, i: F.struct(
+        F.date_format(base + F.make_interval(mins=i * 15), fd.DATETIME_FORMAT).alias("date"),
+        (x.cast("double") * 1000).alias("value")))
+    doc = emb.select("vec_id", F.struct(values.alias("values")).alias("energy"))
+    return kpi.energy_series(doc)
+
+
 def q_data_period(spark, sf):
     """Orders as data-period documents; pending orders have a blank start."""
     o = table(spark, sf, "orders")
@@ -436,6 +506,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_inverters": q_gold_inverters,
     "gold_agg": q_gold_agg,
     "export_long": q_export_long,
+    "silver_sites": q_silver_sites,
+    "gold_sites": q_gold_sites,
+    "silver_inventory": q_silver_inventory,
+    "silver_checks": q_silver_checks,
     "silver_from_landing": q_silver_from_landing,
     "gold_day_range": q_gold_day_range,
     "events_range_clean": q_events_range_clean,
@@ -465,5 +539,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_days": q_run_days,
     "overview_kpis": q_overview_kpis,
     "power_series": q_power_series,
+    "energy_series": q_energy_series,
     "data_period": q_data_period,
 }

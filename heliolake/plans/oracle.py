@@ -161,11 +161,70 @@ _LAST = ("SELECT user_id, arg_max(event_type, event_id) AS t, "
          "arg_max(CAST(ts AS DATE), event_id) AS d FROM events {where} GROUP BY user_id")
 
 
+def _silver_sites_sql() -> str:
+    return (
+        "SELECT CAST(s_nationkey AS BIGINT) AS Account_id, s_suppkey AS Id, "
+        "CAST(s_nationkey + 2000 AS VARCHAR) || '-01-01' AS Installation_Date, "
+        "s_name AS Name, '' AS Comment, s_acctbal AS Peak_Power, "
+        "CASE WHEN s_acctbal >= 0 THEN 'Active' ELSE 'Pending' END AS Status, "
+        "'Optimizers & Inverters' AS Type, n_name AS location_address, "
+        "CASE WHEN s_acctbal < 0 THEN 'Suite ' || CAST(s_suppkey AS VARCHAR) END "
+        "AS location_address2, r_name AS location_city, n_name AS location_country, "
+        "'N' || CAST(s_nationkey AS VARCHAR) AS location_countryCode, "
+        "'UTC' AS location_timeZone, lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS location_zip, "
+        f"'{d.SNAPSHOT_DAY}' AS dt "
+        "FROM supplier JOIN nation ON s_nationkey = n_nationkey "
+        "JOIN region ON n_regionkey = r_regionkey")
+
+
+def _silver_inventory_sql() -> str:
+    return ("SELECT p_brand AS Local_Parent_Id, p_brand AS Manufacturer, p_type AS Model, "
+            f"p_name AS Name, CAST(p_partkey AS VARCHAR) AS Id, '{d.SNAPSHOT_DAY}' AS dt FROM part")
+
+
+def _silver_checks_sql() -> str:
+    import datetime as _dt
+
+    from heliolake.operators.quality import MESSAGES as M
+    as_of = _dt.date.fromisoformat(d.CHECKS_AS_OF)
+    d1 = (as_of - _dt.timedelta(days=1)).isoformat()
+    d2 = (as_of - _dt.timedelta(days=2)).isoformat()
+
+    def cov(col, name):
+        return (f"SELECT '{name}' AS \"check\", a >= b AS passed, a AS observed, b AS expected, "
+                f"'{M[name]}' AS message FROM "
+                f"(SELECT count(DISTINCT {col}) AS a FROM inv WHERE dt = '{d1}') x, "
+                f"(SELECT count(DISTINCT {col}) AS b FROM inv WHERE dt = '{d2}') y")
+
+    def fresh(t, name):
+        return (f"SELECT '{name}' AS \"check\", n > 0 AS passed, n AS observed, "
+                f"CAST(1 AS BIGINT) AS expected, '{M[name]}' AS message FROM "
+                f"(SELECT count(*) AS n FROM {t} WHERE dt = '{d1}')")
+
+    def uniq(t, name):
+        return (f"SELECT '{name}' AS \"check\", n = c AS passed, n AS observed, c AS expected, "
+                f"'{M[name]}' AS message FROM (SELECT count(*) AS n FROM {t}) x, "
+                f"(SELECT count(*) AS c FROM (SELECT DISTINCT * FROM {t})) y")
+
+    parts = [cov("Local_inverter_id", "inverter_coverage"), cov("Local_site_id", "site_coverage"),
+             fresh("inv", "inverters_fresh"), fresh("nvt", "inventory_fresh"),
+             fresh("sites", "sites_fresh"), uniq("inv", "inverters_unique"),
+             uniq("nvt", "inventory_unique"), uniq("sites", "sites_unique")]
+    return (f"WITH inv AS ({_silver_sql()}), nvt AS ({_silver_inventory_sql()}), "
+            f"sites AS ({_silver_sites_sql()}) " + " UNION ALL ".join(parts))
+
+
 ORACLE_SQL: dict[str, str] = {
     "silver_inverters": _silver_sql(),
     "gold_inverters": _gold_sql(),
     "gold_agg": _agg_sql(),
     "export_long": _export_sql(),
+    "silver_sites": _silver_sites_sql(),
+    "gold_sites": (f"WITH s AS ({_silver_sites_sql()}) SELECT Id, Name, Status, Peak_Power, "
+                   "Installation_Date, Comment, Type, Account_id, 0 AS Latitude, "
+                   "0 AS Longitude, dt FROM s"),
+    "silver_inventory": _silver_inventory_sql(),
+    "silver_checks": _silver_checks_sql(),
     "silver_from_landing": _silver_sql(),
     "gold_day_range": (f"WITH g AS ({_gold_sql()}) SELECT * FROM g WHERE dt >= "
                        f"'{d.GOLD_RANGE_START}' AND dt < '{d.GOLD_RANGE_END}'"),
@@ -271,6 +330,12 @@ ORACLE_SQL: dict[str, str] = {
         f"{TS_FMT}) AS \"UpdateTimeUtc\", CAST(x AS DOUBLE) AS \"Value\" FROM "
         "(SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i "
         "FROM embeddings)"),
+    "energy_series": (
+        "SELECT vec_id, CAST(6 AS BIGINT) AS \"Id\", "
+        "strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST((i - 1) * 15 AS BIGINT)), "
+        f"{TS_FMT}) AS \"UpdateTimeUtc\", CAST(x AS DOUBLE) * 1000 AS \"Value\" FROM "
+        "(SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i "
+        "FROM embeddings)"),
     "data_period": (
         "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') "
         "END AS start_date, CASE WHEN o_orderstatus <> 'P' THEN "
