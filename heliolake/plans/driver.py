@@ -25,14 +25,13 @@ from heliolake.functions import dates as fd
 from heliolake.functions.address import compose_address
 from heliolake.functions.measures import epoch_millis
 from heliolake.functions.phase import phase_mean, phase_sum, power_factor, typed_null
-from heliolake.functions.rules import DEFAULT_RULES, RangeRule
+from heliolake.functions.rules import RangeRule
 from heliolake.operators import export as export_ops
 from heliolake.operators import gold as gold_ops
 from heliolake.operators import incremental, kpi, quality
 from heliolake.operators import silver as silver_ops
 from heliolake.operators.address import geocode_join
-from heliolake.schemas import AGG_MEASURES, EXPORT_MEASURES, GOLD_INVERTER_COLUMNS, \
-    SILVER_INVERTER_COLUMNS
+from heliolake.schemas import AGG_MEASURES, GOLD_INVERTER_COLUMNS
 from heliolake.sources.tables import day_range_filter
 
 # Parameters of the driver queries.

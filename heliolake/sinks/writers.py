@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def write_day(df: DataFrame, path: str, partition_cols: Sequence[str] = ("dt",),
               max_records_per_file: int = 5_000_000, fmt: str = "parquet",
-              distribute: str | None = None) -> None:
+              distribute: str | None = None, num_partitions: int | None = None) -> None:
     """Idempotent overwrite of the partitions present in ``df`` (K1).
 
     ``distribute`` says how rows reach the writing tasks:
@@ -31,12 +31,13 @@ def write_day(df: DataFrame, path: str, partition_cols: Sequence[str] = ("dt",),
     * ``"hash"``: a fixed-count hash repartition on the partition columns, for small
       outputs such as per-day aggregates: AQE would coalesce those into one task that then
       commits every day folder by itself, and a fixed count is never coalesced.
+      ``num_partitions`` (e.g. the number of days written) caps the task count.
     """
     if distribute == "rebalance":
         df = df.hint("rebalance", *partition_cols)
     elif distribute == "hash":
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartition(n, *partition_cols)
+        df = df.repartition(max(1, min(n, num_partitions or n)), *partition_cols)
     elif distribute is not None:
         raise ValueError(f"distribute must be None, 'rebalance' or 'hash', not {distribute!r}")
     (df.write.mode("overwrite")
