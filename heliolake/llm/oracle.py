@@ -64,10 +64,10 @@ WITH RECURSIVE w AS (
 s AS (SELECT DISTINCT doc_id, array_to_string(a[i:i + 4], chr(10)) AS shingle
       FROM (SELECT doc_id, a, unnest(range(1, greatest(len(a) - 3, 2))) AS i FROM w WHERE len(a) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
-x AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b USING (shingle)
+x AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b USING (shingle)
       WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
 e AS (SELECT a, b FROM x JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
-      WHERE 100 * both >= 85 * (p.n + q.n - both)),
+      WHERE 100 * common >= 85 * (p.n + q.n - common)),
 r(doc_id, reach) AS (SELECT doc_id, doc_id FROM documents
                      UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.reach = e.a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
