@@ -16,6 +16,8 @@ STATE_CONF = {
     _STATE + "providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     _STATE + "rocksdb.changelogCheckpointing.enabled": "true",
+    # many small stores: no disk space laid out ahead for each one's logs
+    _STATE + "rocksdb.allowFAllocate": "false",
     _STATE + "rocksdb.boundedMemoryUsage": "true",
     _STATE + "rocksdb.maxMemoryUsageMB": "200",
     _STATE + "rocksdb.writeBufferSizeMB": "4",
