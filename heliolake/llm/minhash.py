@@ -363,7 +363,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, spec: Banding | None = N
                        .cast("int").alias("blocks")))
     members = written(banded.select("node", "key").join(buckets, "key"), "near-members")
     wanted = members.select("node").distinct()
-    found = (texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi")
+    # merged, never broadcast: the wanted ids grow with the documents
+    found = (texts.join(wanted.hint("merge"), texts["doc_id"] == wanted["node"], "left_semi")
              .select("text").mapInArrow(_set_rows(spec), SETS))
     sets = (named.select("node", "digest").join(wanted, "node", "left_semi")
             .join(found.dropDuplicates(["digest"]), "digest").select("node", "shingles"))
