@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliolake.llm import decision_list, line_dedup, minhash, mixing, packing
-from heliolake.llm.queries import TOKENIZER
+from heliolake.llm.queries import PATTERN, TOKENIZER
 from heliolake.llm.shared import table, written
 
 
@@ -42,7 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids in sequences of 1024."""
-    return packing.pack_documents(docs, TOKENIZER, 1024, 0)
+    return packing.pack_documents(docs, TOKENIZER, PATTERN, 1024, 0)
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", dedup_lines),

@@ -20,14 +20,14 @@ from heliolake.llm import (
 )
 from heliolake.llm.shared import table
 
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+TOKENIZER, PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
 #: Fixed values of the URL query: host, path, verdict.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"),
              ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, 1024, 0)
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, PATTERN, 1024, 0)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
 
