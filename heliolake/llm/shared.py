@@ -60,3 +60,28 @@ def word_count(text: Column) -> Column:
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
     return F.when(trimmed == "", F.lit(0)).otherwise(
         F.size(F.split(trimmed, f"{SPACE}+"))).cast("long")
+
+
+#: Rows of a bit filter at most: its size is fixed (16 bytes a row), whatever it is built from.
+FILTER_ROWS = 1 << 16
+
+
+def bit_filter(keys: DataFrame, key: str) -> DataFrame:
+    """A filter of fixed size over the long column ``key``: per word of 64 bits, which are set."""
+    bit = F.pmod(F.col(key), F.lit(64 * FILTER_ROWS))
+    return written(keys.select(F.floor(bit / 64).alias("_word"), F.pmod(bit, F.lit(64)).alias("_bit"))
+                   .groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, CAST(_bit AS INT))"))
+                                         .alias("_mask")), "bits")
+
+
+def flagged(rows: DataFrame, bits: DataFrame, key: str) -> DataFrame:
+    """``rows`` with _maybe: false where ``key`` is surely not among the filter's keys.
+
+    Keeps rows out of a shuffle that a join would drop anyway; the join decides. The more keys
+    the fixed filter holds, the fewer rows it saves; results do not change."""
+    bit = F.pmod(F.col(key), F.lit(64 * FILTER_ROWS))
+    return (rows.withColumn("_w", F.floor(bit / 64)).withColumn("_b", F.pmod(bit, F.lit(64)))
+            .join(F.broadcast(bits), F.col("_w") == F.col("_word"), "left")  # FILTER_ROWS at most
+            .withColumn("_maybe", F.expr(
+                "coalesce(shiftright(_mask, CAST(_b AS INT)) & 1L, 0L) = 1L"))
+            .drop("_w", "_b", "_word", "_mask"))

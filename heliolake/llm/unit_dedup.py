@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heliolake.llm.shared import written
+from heliolake.llm.shared import bit_filter, flagged, written
 
 #: Units end at line ends, after a sentence mark, and before a word with a capital, so a passage
 #: set into the middle of another text has units of its own.
@@ -75,8 +75,8 @@ def dedup_units(docs: DataFrame, min_words: int = 25) -> DataFrame:
 
     Scale: digests combine within a task before they are grouped, so a unit that a third of
     the rows share is one row per task; the join back to its occurrences is one that Spark
-    splits when skewed, and only digests that repeat take part. Texts are shuffled once, to
-    meet their spans.
+    splits when skewed, and only digests that repeat take part. Texts that lose a passage are
+    shuffled once to meet their spans; a filter of fixed size keeps most others out.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
                        F.xxhash64("text").alias("row"))
@@ -102,8 +102,15 @@ def dedup_units(docs: DataFrame, min_words: int = 25) -> DataFrame:
         F.sum("n").alias("n_repeated"),
         F.sort_array(F.collect_list(F.when(F.col("words") >= min_words, F.struct(
             "start", "stop", "words", "keep_doc_id")))).alias("removed"))
-    joined = base.alias("b").join(spans.alias("s"), (F.col("b.row") == F.col("s.row"))
-                                  & F.col("b.doc_id").eqNullSafe(F.col("s.doc_id")), "left")
+    spans = written(spans, "unit-spans")
+    told = flagged(base, bit_filter(spans, "row"), "row")
+    met = (told.filter("_maybe").alias("b").join(
+        spans.hint("merge").alias("s"), (F.col("b.row") == F.col("s.row"))
+        & F.col("b.doc_id").eqNullSafe(F.col("s.doc_id")), "left")
+        .select("b.doc_id", "text", "n_repeated", "removed"))
+    joined = told.filter("NOT _maybe").select("doc_id", "text", *[
+        F.lit(None).cast(spans.schema[c].dataType).alias(c) for c in ("n_repeated", "removed")]
+    ).unionByName(met)
     cuts = F.concat(F.array(F.lit(0)),
                     F.transform("removed", lambda r: r["stop"]))
     ends = F.concat(F.transform("removed", lambda r: r["start"]), F.array(F.length("text")))
@@ -111,5 +118,5 @@ def dedup_units(docs: DataFrame, min_words: int = 25) -> DataFrame:
         F.array_join(F.zip_with(cuts, ends, lambda a, b: F.substring("text", a + 1, b - a)), ""))
     empty = F.array().cast("array<struct<start:int,stop:int,words:bigint,keep_doc_id:bigint>>")
     return joined.select(
-        "b.doc_id", text.alias("text"), F.coalesce("n_repeated", F.lit(0)).cast("long")
+        "doc_id", text.alias("text"), F.coalesce("n_repeated", F.lit(0)).cast("long")
         .alias("n_repeated"), F.coalesce("removed", empty).alias("removed"))
