@@ -118,8 +118,8 @@ def _dictionaries(pieces: list, total: dict[int, int], base_words: int, min_shar
             .encode("utf-8", "surrogatepass"))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 6000, window: int = 8,
-          base_words: int = 200, min_share: float = 5e-4, min_count: int = 6,
+def train(docs: DataFrame, labels: DataFrame, sample: int = 6000, window: int = 5,
+          base_words: int = 200, min_share: float = 2e-4, min_count: int = 6,
           odds: float = 4.0, min_surprise: float = 5.0) -> ToxicityModel:
     """Dictionaries and calibration from labelled documents.
 

@@ -75,10 +75,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow",
               .join(domains, "domain", "left_semi"))
     points = written(points, "url-points")
     counts = points.groupBy("domain").agg(F.count("*").alias("n"))
-    total = points.agg(F.count("*").alias("total"))
-    slices = (counts.join(F.broadcast(total))  # one row
-              .select("domain", F.ceil(F.lit(float(spread * parts)) * F.col("n") / F.col("total"))
-                      .cast("int").alias("slices")))
+    total = F.sum("n").over(Window.partitionBy())  # over one row per domain that has rules
+    slices = counts.select("domain", F.ceil(F.lit(float(spread * parts)) * F.col("n") / total)
+                           .cast("int").alias("slices"))
     # the rule that encloses each rule: the longest other prefix of the same domain
     up = (rules.select("domain", "prefix", F.explode(F.sequence(F.lit(0), F.length("prefix")))
                        .alias("k")).filter(F.col("k") < F.length("prefix"))
