@@ -95,10 +95,11 @@ def parse_day(s, fmt: str = DATE_FORMAT) -> Column:
 
 def date_parts(s) -> tuple[Column, Column, Column]:
     """(year, month, day) ints from a 'Y-M-D...' string (D8): split on '-', the day keeps
-    its leading 1-2 digits (so '2023-01-05 10:00:00' gives day 5)."""
+    its leading 1-2 digits (so '2023-01-05 10:00:00' gives day 5). Missing or unreadable
+    parts are NULL."""
     s = F.col(s) if isinstance(s, str) else s
     parts = F.split(s, "-")
-    year = parts.getItem(0).cast("int")
-    month = parts.getItem(1).cast("int")
-    day = F.regexp_extract(parts.getItem(2), r"^(\d{1,2})", 1).cast("int")
+    year = F.get(parts, F.lit(0)).try_cast("int")
+    month = F.get(parts, F.lit(1)).try_cast("int")
+    day = F.regexp_extract(F.get(parts, F.lit(2)), r"^(\d{1,2})", 1).try_cast("int")
     return year, month, day

@@ -20,9 +20,12 @@ def geocode_join(sites: DataFrame, lookup: DataFrame, key: str = "query_address"
 
     Returns ``(matched, rejected)``: an inner equi-join and the ``left_anti`` rest, so a
     site without a lookup hit is reported instead of silently dropped. The lookup is
-    deduplicated per key first so a site never multiplies.
+    reduced to one row per key first, so a site never multiplies: of several rows of a key
+    the one that sorts first stays, whatever their order.
     """
-    lk = lookup.dropDuplicates([key])
+    rest = [c for c in lookup.columns if c != key]
+    lk = (lookup.groupBy(key).agg(F.min(F.struct(*rest)).alias("_first"))
+                .select(key, *[F.col("_first")[c].alias(c) for c in rest]))
     matched = sites.join(lk, key, "inner")
     rejected = sites.join(lk.select(key), key, "left_anti")
     return matched, rejected

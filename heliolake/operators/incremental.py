@@ -48,34 +48,45 @@ def known_keys(items: DataFrame, index: DataFrame, key: str = "site_id",
 
 
 def cursor_read(cursor: DataFrame, key: str = "site_id") -> DataFrame:
-    """Latest position per key (C2): the row with the highest ``seq``."""
+    """Latest position per key (C2): the row with the highest ``seq`` (NULL ranks lowest), of
+    those the one with the latest date, then the highest serial number."""
+    order = F.struct(F.coalesce("seq", F.lit(-1)), "last_date", "serial_number")
     return (cursor.groupBy(key)
-                  .agg(F.max_by(F.struct("serial_number", "last_date"), "seq").alias("p"),
+                  .agg(F.max_by(F.struct("serial_number", "last_date"), order).alias("p"),
                        F.max("seq").alias("seq"))
                   .select(key, "p.serial_number", "p.last_date", "seq"))
 
 
-def cursor_upsert(cursor: DataFrame, updates: DataFrame, key: str = "site_id") -> DataFrame:
+def cursor_upsert(cursor: DataFrame, updates: DataFrame, key: str = "site_id",
+                  update_order: str | None = None) -> DataFrame:
     """Set or replace the position of each updated key.
 
     Old rows and updates are unioned and reduced per key; an update always wins over the
     stored position and gets ``seq = stored seq + 1`` (per key, so no global counter and
-    no join is needed). A new key is inserted with its date, not an empty string.
+    no join is needed). A new key is inserted with its date, not an empty string. Columns are
+    merged one by one: an update without a serial number keeps the stored one. Among several
+    updates of a key the last by ``update_order`` (a column of ``updates``) wins, else the
+    latest date.
     """
     if "serial_number" not in updates.columns:
         updates = updates.withColumn("serial_number", F.lit(None).cast("string"))
-    old = cursor.select(key, "serial_number", "last_date", "seq", F.lit(0).alias("is_update"))
+    turn = F.col(update_order).cast("bigint") if update_order else F.lit(0).cast("bigint")
+    old = cursor.select(key, "serial_number", "last_date", "seq", F.lit(0).alias("is_update"),
+                        F.lit(0).cast("bigint").alias("turn"))
     new = updates.select(F.col(key).cast("string").alias(key), "serial_number",
                          F.col("last_date").cast("date").alias("last_date"),
-                         F.lit(None).cast("bigint").alias("seq"), F.lit(1).alias("is_update"))
-    # ties between several updates of one key go to the latest date (deterministic)
-    order = F.struct("is_update", F.coalesce("seq", F.lit(0)), "last_date")
+                         F.lit(None).cast("bigint").alias("seq"), F.lit(1).alias("is_update"),
+                         turn.alias("turn"))
+    order = F.struct("is_update", "turn", F.coalesce("seq", F.lit(0)), "last_date",
+                     "serial_number")
+    carries = F.when(F.col("serial_number").isNotNull(), order)
     return (old.unionByName(new)
                .groupBy(key)
-               .agg(F.max_by(F.struct("serial_number", "last_date"), order).alias("p"),
+               .agg(F.max_by("last_date", order).alias("last_date"),
+                    F.max_by("serial_number", carries).alias("serial_number"),
                     F.coalesce(F.max("seq"), F.lit(0)).alias("top"),
                     F.max("is_update").alias("updated"))
-               .select(key, "p.serial_number", "p.last_date",
+               .select(key, "serial_number", "last_date",
                        (F.col("top") + F.col("updated")).cast("bigint").alias("seq")))
 
 
@@ -100,4 +111,4 @@ def catch_up_work(sites: DataFrame, cursor: DataFrame, as_of, key: str = "site_i
 
 def run_marker(spark: SparkSession, now: _dt.datetime, key: str = "now") -> DataFrame:
     """Run-start boundary row (C3), to union into a cursor table as ``site_id = 'now'``."""
-    return spark.createDataFrame([(key, None, now.date(), None)], CURSOR)
+    return spark.createDataFrame([(key, None, now.date(), 0)], CURSOR)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heliolake.functions.dates import parse_day
+
 # KPI ids.
 KPI_LIFETIME, KPI_LAST_YEAR, KPI_LAST_MONTH, KPI_LAST_DAY = 1, 2, 3, 4
 KPI_POWER, KPI_ENERGY = 5, 6
@@ -22,7 +24,9 @@ def _kpi(id_: int, time, value):
 
 def overview_kpis(overview: DataFrame) -> DataFrame:
     """Four rows per overview document (J1): lifetime / last-year / last-month / last-day
-    energy, all stamped with ``lastUpdateTime``."""
+    energy, all stamped with ``lastUpdateTime``; a document without an overview (an error
+    body) gives none."""
+    overview = overview.filter("overview IS NOT NULL")
     o, t = "overview.", F.col("overview.lastUpdateTime")
     keep = [c for c in overview.columns if c != "overview"]
     return overview.select(*keep, F.inline(F.array(
@@ -59,13 +63,14 @@ def kpi_table(*parts: DataFrame) -> DataFrame:
 
 
 def data_period(df: DataFrame) -> DataFrame:
-    """Start / end dates of a site's data (J4); a NULL or blank start makes both NULL."""
+    """Start / end dates of a site's data (J4); a NULL or blank start makes both NULL, as
+    does for itself a date that cannot be parsed."""
     s, e = F.col("dataPeriod.startDate"), F.col("dataPeriod.endDate")
     valid = s.isNotNull() & (F.trim(s) != "")
     keep = [c for c in df.columns if c != "dataPeriod"]
     return df.select(*keep,
-                     F.when(valid, F.to_date(s, "yyyy-MM-dd")).alias("start_date"),
-                     F.when(valid, F.to_date(e, "yyyy-MM-dd")).alias("end_date"))
+                     F.when(valid, parse_day(s)).alias("start_date"),
+                     F.when(valid, parse_day(e)).alias("end_date"))
 
 
 def components(df: DataFrame) -> DataFrame:

@@ -86,8 +86,7 @@ def telemetry_bronze(lineitem: DataFrame) -> DataFrame:
         (q * 100).alias("totalActivePower"),
         F.col("l_extendedprice").alias("totalEnergy"),
         l1.alias("L1Data"), l2.alias("L2Data"), l3.alias("L3Data"))
-    data = F.when(F.col("l_linenumber") != 7,
-                  F.struct(F.array(reading).alias("telemetries")))
+    data = F.struct(F.array(reading).alias("telemetries"))
     return lineitem.select(
         data.alias("data"),
         F.date_format(F.col("l_shipdate"), fd.DATE_FORMAT).alias("dt"),
@@ -99,6 +98,16 @@ def q_silver_inverters(spark, sf):
     return silver_ops.flatten_telemetry(telemetry_bronze(table(spark, sf, "lineitem")))
 
 
+def q_silver_error_bodies(spark, sf):
+    """Error bodies (NULL data) and empty reading lists beside every document drop out."""
+    docs = telemetry_bronze(table(spark, sf, "lineitem"))
+    kind = docs.schema["data"].dataType
+    empty = F.struct(F.array().cast(kind["telemetries"].dataType).alias("telemetries"))
+    return silver_ops.flatten_telemetry(
+        docs.unionByName(docs.withColumn("data", F.lit(None).cast(kind)))
+            .unionByName(docs.withColumn("data", empty)))
+
+
 def q_gold_inverters(spark, sf):
     return gold_ops.gold_inverters(q_silver_inverters(spark, sf))
 
@@ -502,6 +511,7 @@ def q_data_period(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_inverters": q_silver_inverters,
+    "silver_error_bodies": q_silver_error_bodies,
     "gold_inverters": q_gold_inverters,
     "gold_agg": q_gold_agg,
     "export_long": q_export_long,

@@ -34,7 +34,6 @@ def _silver_sql() -> str:
              {l3.format("l_tax * 10")} AS L3Data_reactivePower,
              strftime(l_shipdate, '%Y-%m-%d') AS dt
       FROM lineitem
-      WHERE l_linenumber <> 7
     )
     SELECT Local_site_id, Local_inverter_id, Datetime, DC_Voltage, Temperature, Active_Power,
            AC_Energy, AC_Current_L1, AC_Voltage_L1, L1Data_cosPhi, L1Data_reactivePower,
@@ -216,6 +215,7 @@ def _silver_checks_sql() -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "silver_inverters": _silver_sql(),
+    "silver_error_bodies": _silver_sql(),
     "gold_inverters": _gold_sql(),
     "gold_agg": _agg_sql(),
     "export_long": _export_sql(),

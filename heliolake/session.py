@@ -13,7 +13,6 @@ The settings below are the ones the data model depends on, not tuning knobs:
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,8 +26,6 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.json.filterPushdown.enabled": "true",
-    # listing jobs: one task per ~N folders instead of one per folder
-    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
 }
 
 
@@ -63,29 +60,18 @@ def build_session(master: str | None = None, app_name: str = "heliolake",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a private folder is created and
-    registered; a cluster deployment always provides a shared location.
+    Only a local master (tests) may go without: it gets a private folder. On a cluster a
+    missing setting is an error, as no machine-local folder is shared.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if not master.startswith("local") or "cluster" in master:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     local = tempfile.mkdtemp(prefix="heliolake-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
-
-
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    spark = spark or df.sparkSession
-    checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

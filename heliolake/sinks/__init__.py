@@ -3,10 +3,11 @@
 from heliolake.sinks.writers import (
     drop_previous_snapshot,
     land_bronze_json,
+    replace_day,
     truncate_then_load,
     write_day,
     write_sites_csv,
 )
 
-__all__ = ["drop_previous_snapshot", "land_bronze_json", "truncate_then_load", "write_day",
+__all__ = ["drop_previous_snapshot", "land_bronze_json", "replace_day", "truncate_then_load", "write_day",
            "write_sites_csv"]

@@ -48,6 +48,15 @@ def write_day(df: DataFrame, path: str, partition_cols: Sequence[str] = ("dt",),
        .save(path))
 
 
+def replace_day(df: DataFrame, path: str, day, max_records_per_file: int = 5_000_000) -> None:
+    """Overwrite of one day's folder (K1), also when ``df`` has no rows: the day is then empty,
+    where a dynamic overwrite would leave what an earlier run wrote. All rows must be of
+    ``day``; other days are not touched."""
+    (df.drop("dt").write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .option("maxRecordsPerFile", max_records_per_file)
+       .parquet(f"{path.rstrip('/')}/dt={day}"))
+
+
 def land_bronze_json(df: DataFrame, root: str,
                      partition_cols: Sequence[str] = ("dt", "site_id", "inv_id"),
                      rebalance: bool = True) -> None:
@@ -69,12 +78,17 @@ _STANDARD_CHARSETS = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le"
 
 def write_sites_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
     """Header CSV of site locations (K4). UTF-8 by default; a legacy single-byte charset
-    such as windows-1255 switches on ``spark.sql.legacy.javaCharsets`` for the session and
-    then writes '?' for characters it cannot map, like the original export."""
-    if encoding.lower() not in _STANDARD_CHARSETS:
-        df.sparkSession.conf.set("spark.sql.legacy.javaCharsets", "true")
-    (df.write.mode("overwrite").option("header", "true").option("encoding", encoding)
-       .csv(path))
+    such as windows-1255 needs ``spark.sql.legacy.javaCharsets``, which is on for this write
+    only, and writes '?' for characters it cannot map, like the original export."""
+    conf, flag = df.sparkSession.conf, "spark.sql.legacy.javaCharsets"
+    before = conf.get(flag, "false")
+    try:
+        if encoding.lower() not in _STANDARD_CHARSETS:
+            conf.set(flag, "true")
+        (df.write.mode("overwrite").option("header", "true").option("encoding", encoding)
+           .csv(path))
+    finally:
+        conf.set(flag, before)
 
 
 def _jvm_fs(spark: SparkSession, path: str):

@@ -8,8 +8,6 @@ is opened and ids such as ``0012`` or ``73E4`` stay strings.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -54,19 +52,19 @@ def read_inverter_bronze(spark: SparkSession, root: str, dt=None, start=None, en
                          multi_line: bool = False, days=None) -> DataFrame:
     """Inverter telemetry documents (S1): ``data.telemetries`` + path ids ``site_id``,
     ``inv_id`` and ``dt``. ``dt`` selects one day; ``start``/``end`` a half-open range."""
-    return _read_json(spark, root, schemas.INVERTER_BRONZE, multi_line, "*.json", dt, start, end, days)
+    return _read_json(spark, root, schemas.INVERTER_BRONZE, multi_line, None, dt, start, end, days)
 
 
 def read_inventory_bronze(spark: SparkSession, root: str, dt=None, start=None, end=None,
                           multi_line: bool = False, days=None) -> DataFrame:
     """Site inventory documents (S2): ``Inventory.inverters`` + path ``site_id``, ``dt``."""
-    return _read_json(spark, root, schemas.INVENTORY_BRONZE, multi_line, "*.json", dt, start, end, days)
+    return _read_json(spark, root, schemas.INVENTORY_BRONZE, multi_line, None, dt, start, end, days)
 
 
 def read_sites_bronze(spark: SparkSession, root: str, dt=None, start=None, end=None,
                       multi_line: bool = False, days=None) -> DataFrame:
     """Site list snapshot pages (S3): ``sites.count`` + ``sites.site`` + path ``dt``."""
-    return _read_json(spark, root, schemas.SITES_BRONZE, multi_line, "*.json", dt, start, end, days)
+    return _read_json(spark, root, schemas.SITES_BRONZE, multi_line, None, dt, start, end, days)
 
 
 def merge_pages(sites_bronze: DataFrame) -> DataFrame:
@@ -125,7 +123,9 @@ def read_inverter_list(spark: SparkSession, path: str, multi_line: bool = False)
     ``site_id=`` path segment when present."""
     r = spark.read.schema(schemas.INVERTER_LIST_BRONZE)
     df = (r.option("multiLine", "true") if multi_line else r).json(path)
-    return df.select(F.explode("data").alias("d")).select(F.col("d.id").alias("inverter_id"))
+    site = [c for c in df.columns if c == "site_id"]
+    return (df.select(*site, F.explode("data").alias("d"))
+              .select(*site, F.col("d.id").alias("inverter_id")))
 
 
 def read_raw_landing(spark: SparkSession, path: str) -> DataFrame:
@@ -143,6 +143,3 @@ def read_raw_landing(spark: SparkSession, path: str) -> DataFrame:
               .withColumn("doc", F.try_parse_json("payload"))
               .withColumn("is_json", F.col("doc").isNotNull()))
 
-
-def landing_path(root: str, table: str) -> str:
-    return os.path.join(root, table)

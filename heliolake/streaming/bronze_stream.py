@@ -45,7 +45,7 @@ def start_bronze_refresh(spark: SparkSession, layout: P.Layout, checkpoint: str
                          max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the refresh stream; returns the running query (``awaitTermination()`` it)."""
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "bronze-refresh")
-    reader = spark.readStream.schema(schemas.INVERTER_BRONZE).option("pathGlobFilter", "*.json")
+    reader = spark.readStream.schema(schemas.INVERTER_BRONZE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(layout.b(P.INVERTERS)).select("dt")
