@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from heliolake.functions.dates import DEFAULT_START_DATE, catch_up_range, date_range
 from heliolake.schemas import CURSOR
+from heliolake.sources.tables import hadoop_path, path_exists
 
 
 def work_list(sites: DataFrame, inventory: DataFrame, start, end,
@@ -109,6 +110,37 @@ def catch_up_work(sites: DataFrame, cursor: DataFrame, as_of, key: str = "site_i
                          .alias("day"))
 
 
+def read_cursor(spark: SparkSession, path: str) -> DataFrame:
+    """The stored cursor table: its newest complete version, or an empty cursor."""
+    done = _versions(spark, path)
+    return spark.read.schema(CURSOR).parquet(done[-1][1]) if done else empty_cursor(spark)
+
+
+def write_cursor(cursor: DataFrame, path: str) -> None:
+    """Store a new version of the cursor beside the old one, so that a cursor may be computed
+    from the version it replaces and a failed write leaves that in force. The version before
+    stays for readers at work; older ones go."""
+    spark = cursor.sparkSession
+    done = _versions(spark, path)
+    number = done[-1][0] + 1 if done else 1
+    cursor.write.mode("overwrite").parquet(f"{path.rstrip('/')}/v{number:012d}")
+    for _, old in done[:-1]:
+        fs, p = hadoop_path(spark, old)
+        fs.delete(p, True)
+
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    fs, root = hadoop_path(spark, path)
+    if not fs.exists(root):
+        return []
+    out = []
+    for st in fs.listStatus(root):
+        name, where = st.getPath().getName(), st.getPath().toString()
+        if name[:1] == "v" and name[1:].isdigit() and path_exists(spark, f"{where}/_SUCCESS"):
+            out.append((int(name[1:]), where))
+    return sorted(out)
+
+
 def run_marker(spark: SparkSession, now: _dt.datetime, key: str = "now") -> DataFrame:
     """Run-start boundary row (C3), to union into a cursor table as ``site_id = 'now'``."""
     return spark.createDataFrame([(key, None, now.date(), 0)], CURSOR)

@@ -117,6 +117,7 @@ SILVER_SITES_COLUMNS = [
 ]
 
 # ---------------------------------------------------------------------------- gold
+# Output column names and order.
 GOLD_INVERTER_COLUMNS = [
     "Datetime", "Local_site_id", "Local_inverter_id", "AC_Voltage", "AC_Power", "AC_Energy",
     "DC_Voltage", "Power_Factor", "Active_Power", "Temperature", "DC_Current", "DC_Power",
@@ -145,6 +146,16 @@ EXPORT_MEASURES = [
 ]
 EXPORT_DIMENSIONS = ["data_source", "local_site_id", "local_inverter_id"]
 
+
+def _stored(columns: list[str]) -> StructType:
+    """Stored types of an inverter table: ids, times and labels are text, the rest doubles."""
+    text = {"Local_site_id", "Local_inverter_id", "Datetime", "Account_id", "Data_Source"}
+    return _struct(*[(c, S if c in text else D) for c in columns], ("dt", S))
+
+
+SILVER_INVERTERS = _stored(SILVER_INVERTER_COLUMNS)
+GOLD_INVERTERS = _stored(GOLD_INVERTER_COLUMNS)
+
 # ---------------------------------------------------------------------------- bookkeeping
 CURSOR = StructType([
     StructField("site_id", S, False),

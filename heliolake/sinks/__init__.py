@@ -7,7 +7,8 @@ from heliolake.sinks.writers import (
     truncate_then_load,
     write_day,
     write_sites_csv,
+    write_window,
 )
 
 __all__ = ["drop_previous_snapshot", "land_bronze_json", "replace_day", "truncate_then_load", "write_day",
-           "write_sites_csv"]
+           "write_sites_csv", "write_window"]

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from heliolake.sources.tables import day_folders, hadoop_path
+
 
 def write_day(df: DataFrame, path: str, partition_cols: Sequence[str] = ("dt",),
               max_records_per_file: int = 5_000_000, fmt: str = "parquet",
@@ -57,13 +59,40 @@ def replace_day(df: DataFrame, path: str, day, max_records_per_file: int = 5_000
        .parquet(f"{path.rstrip('/')}/dt={day}"))
 
 
+def _names(fs, folder) -> set[str]:
+    return {st.getPath().getName() for st in fs.listStatus(folder)}
+
+
+def write_window(df: DataFrame, path: str, start=None, end=None, days=None, within=None,
+                 **how) -> list[str]:
+    """``write_day`` for a range or set of days, after which days of the window that got no
+    rows are removed, as an overwrite day by day would empty them. ``within`` restricts the
+    removal to these days. A replaced folder holds none of its earlier files, so a folder that
+    still does got no rows; it goes only after the write has succeeded. Returns those days."""
+    spark = df.sparkSession
+    before = {}
+    for folder in day_folders(spark, path, start=start, end=end, days=days) or []:
+        fs, p = hadoop_path(spark, folder)
+        before[folder] = _names(fs, p)
+    write_day(df, path, **how)
+    gone = []
+    for folder, names in before.items():
+        day = folder.rstrip("/").rsplit("dt=", 1)[1]
+        fs, p = hadoop_path(spark, folder)
+        if (within is None or day in within) and fs.exists(p) and _names(fs, p) & names:
+            fs.delete(p, True)
+            gone.append(day)
+    return gone
+
+
 def land_bronze_json(df: DataFrame, root: str,
                      partition_cols: Sequence[str] = ("dt", "site_id", "inv_id"),
                      rebalance: bool = True) -> None:
     """Land documents as JSON Lines under ``dt=/site_id=/inv_id=`` (K2). Spark names the
     files itself (no ':' from a time of day, which Hadoop paths reject). Documents come
     from any source order, so they are rebalanced on the partition columns first (AQE
-    sizes the tasks and splits hot days)."""
+    sizes the tasks and splits hot days). A folder that receives documents is replaced whole:
+    land whole inverter-days, as a part of a day would remove its other readings."""
     if rebalance:
         df = df.hint("rebalance", *partition_cols)
     (df.write.mode("overwrite")
@@ -91,13 +120,6 @@ def write_sites_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
         conf.set(flag, before)
 
 
-def _jvm_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, hpath
-
-
 def drop_previous_snapshot(spark: SparkSession, path_or_table: str, day,
                            keep_days: int = 1) -> bool:
     """Retention of a *dimension* snapshot table (K5): after day ``d`` was written, drop
@@ -109,7 +131,7 @@ def drop_previous_snapshot(spark: SparkSession, path_or_table: str, day,
     if "/" not in path_or_table and spark.catalog.tableExists(path_or_table):
         spark.sql(f"ALTER TABLE {path_or_table} DROP IF EXISTS PARTITION (dt='{old}')")
         return True
-    fs, part = _jvm_fs(spark, f"{path_or_table.rstrip('/')}/dt={old}")
+    fs, part = hadoop_path(spark, f"{path_or_table.rstrip('/')}/dt={old}")
     if fs.exists(part):
         return bool(fs.delete(part, True))
     return False

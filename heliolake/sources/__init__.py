@@ -1,12 +1,15 @@
 """Readers: bronze JSON landings and silver/gold Parquet tables."""
 
 from heliolake.sources.bronze import (
+    bronze_rejects,
+    landed_partitions,
     read_components,
     read_data_period,
     read_energy,
     read_inventory_bronze,
     read_inverter_bronze,
     read_inverter_list,
+    read_json_documents,
     read_overview,
     read_power,
     read_pretty_json,
@@ -24,6 +27,7 @@ from heliolake.sources.tables import (
 )
 
 __all__ = [
+    "bronze_rejects", "landed_partitions", "read_json_documents",
     "read_components", "read_data_period", "read_energy", "read_inventory_bronze",
     "read_inverter_bronze", "read_inverter_list", "read_overview", "read_power",
     "read_pretty_json", "read_raw_landing", "read_site_map", "read_sites_bronze",

@@ -8,6 +8,8 @@ is opened and ids such as ``0012`` or ``73E4`` stay strings.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,11 +18,65 @@ from heliolake import schemas
 from heliolake.sources.tables import day_filter, day_folders, day_range_filter
 
 
-def _read_json(spark: SparkSession, root: str, schema: StructType, multi_line: bool = False,
-               glob: str | None = None, dt=None, start=None, end=None,
-               days=None) -> DataFrame:
+def read_json_documents(spark: SparkSession, root: str, dt=None, start=None, end=None,
+                        days=None) -> DataFrame:
+    """One row per top-level document: ``body``, ``source_file`` and the path columns.
+
+    JSON Lines, indented files and indented documents one after the other are all cut where
+    a line begins with ``{``, so files stay splittable and no file is held whole. Indented
+    means that inner lines are: with an indent of 0 use a ``multi_line=True`` reader.
+    """
+    reader = spark.read.option("basePath", root).option("lineSep", "\n{")
+    folders = day_folders(spark, root, dt, start, end, days=days)
+    if folders == []:
+        return spark.createDataFrame([], "body string, source_file string, dt string")
+    df = _days(reader.text(folders or root), dt, start, end, days)
+    cut = F.col("value").rlike(r'^\s*["}]')  # the separator took the opening brace
+    return (df.select(F.when(cut, F.concat(F.lit("{"), "value")).otherwise(F.col("value"))
+                       .alias("body"),
+                      F.col("_metadata.file_path").alias("source_file"),
+                      *[c for c in df.columns if c != "value"])
+              .filter(F.col("body").rlike(r"\S")))
+
+
+def _split_schema(schema: StructType, path_columns) -> StructType:
+    return StructType([f for f in schema.fields if f.name not in path_columns])
+
+
+def bronze_rejects(spark: SparkSession, root: str, schema: StructType = schemas.INVERTER_BRONZE,
+                   field: str = "data.telemetries", dt=None, start=None, end=None,
+                   days=None) -> DataFrame:
+    """Documents that silver drops, with their path columns, body and ``reason``: ``not JSON``
+    (truncated or foreign text) or ``no <field>`` (error bodies, other shapes). A document
+    with an empty list is whole and not listed."""
+    docs = read_json_documents(spark, root, dt, start, end, days)
+    parsed = F.from_json("body", _split_schema(schema, set(docs.columns)))
+    return (docs.withColumn("_doc", parsed)
+                .filter(F.col(f"_doc.{field}").isNull())
+                .withColumn("reason", F.when(F.try_parse_json("body").isNull(), F.lit("not JSON"))
+                                       .otherwise(F.lit(f"no {field}")))
+                .drop("_doc"))
+
+
+def landed_partitions(spark: SparkSession, root: str,
+                      keys: Sequence[str] = ("dt", "site_id", "inv_id")) -> DataFrame:
+    """Distinct path keys of the files under ``root`` (C4 against real folders). Only the
+    listing is read: no file is opened."""
+    return spark.read.format("binaryFile").load(root).select(*keys).distinct()
+
+
+def _read_json(spark: SparkSession, root: str, schema: StructType,
+               multi_line: bool | None = False, glob: str | None = None, dt=None, start=None,
+               end=None, days=None) -> DataFrame:
     """Explicit-schema JSON scan of a ``dt=`` partitioned landing, restricted to the day
-    window by folder before any file is listed (see ``tables.day_folders``)."""
+    window by folder before any file is listed (see ``tables.day_folders``). ``multi_line``:
+    False for JSON Lines, True for one document a file, None for either."""
+    if multi_line is None:
+        docs = read_json_documents(spark, root, dt, start, end, days)
+        inner = _split_schema(schema, set(docs.columns))
+        docs = docs.withColumn("_doc", F.from_json("body", inner))
+        return docs.select(*[F.col(f"_doc.{f.name}") if f in inner.fields else F.col(f.name)
+                             for f in schema.fields])
     reader = (spark.read.schema(schema)
               .option("mode", "PERMISSIVE")
               .option("basePath", root))
@@ -130,9 +186,9 @@ def read_inverter_list(spark: SparkSession, path: str, multi_line: bool = False)
 
 def read_raw_landing(spark: SparkSession, path: str) -> DataFrame:
     """Payloads whose shape is not known (S10): one row per file with the whole text, the
-    file path, the parsed document as a VARIANT (``try_parse_json``: NULL when the body is
-    not JSON) and a validity flag; fields are reached later with ``variant_get`` or
-    ``get_json_object``.
+    file path, the ``dt`` / ``site_id`` / ``inv_id`` of the path (NULL when it has none), the
+    parsed document as a VARIANT (``try_parse_json``: NULL when the body is not JSON) and a
+    validity flag; fields are reached later with ``variant_get`` or ``get_json_object``.
 
     Each file is one document of one inverter-day, so ``wholetext`` stays bounded by the
     size of one API response.
@@ -140,6 +196,9 @@ def read_raw_landing(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     return (df.withColumnRenamed("value", "payload")
               .withColumn("source_file", F.input_file_name())
+              .withColumns({k: F.url_decode(F.nullif(
+                  F.regexp_extract("source_file", f"/{k}=([^/]+)/", 1), F.lit("")))
+                  for k in ("dt", "site_id", "inv_id")})
               .withColumn("doc", F.try_parse_json("payload"))
               .withColumn("is_json", F.col("doc").isNotNull()))
 

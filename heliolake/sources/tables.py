@@ -14,6 +14,7 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def _lit_day(d) -> Column:
@@ -43,14 +44,14 @@ def day_range_filter(column: str | Column, start, end) -> Column:
     return (c >= _lit_day(start)) & (c < _lit_day(end))
 
 
-def _fs(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_path(spark, path)
     return bool(fs.exists(p))
 
 
@@ -61,7 +62,7 @@ def day_folders(spark: SparkSession, root: str, dt=None, start=None, end=None,
     listing). ``None`` when no window is given."""
     if days is not None:
         wanted = {_day_str(d) for d in days}
-        fs, p = _fs(spark, root)
+        fs, p = hadoop_path(spark, root)
         if not fs.exists(p) or not wanted:
             return []
         prefix = f"{column}="
@@ -70,7 +71,7 @@ def day_folders(spark: SparkSession, root: str, dt=None, start=None, end=None,
                       and st.getPath().getName()[len(prefix):] in wanted)
     if dt is None and (start is None or end is None):
         return None
-    fs, p = _fs(spark, root)
+    fs, p = hadoop_path(spark, root)
     if not fs.exists(p):
         return []
     prefix = f"{column}="
@@ -98,16 +99,26 @@ def _window_filter(dt=None, start=None, end=None, column: str = "dt",
 
 
 def read_parquet_window(spark: SparkSession, root: str, dt=None, start=None, end=None,
-                        days=None) -> DataFrame:
+                        days=None, schema: StructType | None = None) -> DataFrame:
     """A ``dt`` partitioned Parquet table restricted to one day or ``[start, end)``; only
-    ``*.parquet`` objects are read (S7). An empty window gives an empty DataFrame with
-    the table's schema."""
+    ``*.parquet`` objects are read (S7). A window without days gives an empty DataFrame with
+    ``schema``, else with that of the table's newest day; no other file is listed for it. A
+    given ``schema`` spares the look into a file footer and stands in for an absent table."""
     folders = day_folders(spark, root, dt, start, end, days=days)
-    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    reader = spark.read.option("pathGlobFilter", "*.parquet").option("basePath", root)
+    if schema is not None:
+        reader = reader.schema(schema)
     if folders:
-        df = reader.option("basePath", root).parquet(*folders)
-    else:
+        df = reader.parquet(*folders)
+    elif folders is None:
         df = reader.parquet(root)
+    else:
+        if schema is None:
+            newest = day_folders(spark, root, start="", end="\uffff")
+            if not newest:
+                raise FileNotFoundError(f"no day folders under {root}")
+            schema = reader.parquet(newest[-1]).schema
+        return spark.createDataFrame([], schema)
     cond = _window_filter(dt, start, end, days=days)
     return df.filter(cond) if cond is not None else df
 

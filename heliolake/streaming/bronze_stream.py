@@ -2,7 +2,8 @@
 
 The reference refreshes the current day with an hourly batch that rewrites the whole day.
 Here a file stream watches the bronze telemetry root; the stream itself only carries the
-``dt`` partition value of each new file (the JSON bodies are not parsed in the stream).
+``dt`` partition value of each new file: the files are taken as binary ones whose content
+column is not selected, so they are listed but not opened.
 Every micro-batch recomputes the *whole* days it touched - silver, gold, the per-day
 aggregate and the long export - with dynamic partition overwrite. State lives in the
 tables, not in the stream: a replayed micro-batch (after a failure or a lost executor)
@@ -21,17 +22,20 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from heliolake import schemas
 from heliolake.plans import pipeline as P
 from heliolake.session import checkpoint_dir
+from heliolake.sources.tables import path_exists
 
 
 def refresh_days(spark: SparkSession, layout: P.Layout, days: list[str]) -> None:
     """Recompute silver -> gold -> aggregate -> export for exactly ``days``."""
     if not days:
         return
-    P.run_silver(spark, layout, days=days)
-    gold = P.run_gold(spark, layout, days=days)
+    # the stream watches the readings; site tables are refreshed along with them if landed
+    tables = [t for t in P.BRONZE_TABLES
+              if t == P.INVERTERS or path_exists(spark, layout.b(t))]
+    P.run_silver(spark, layout, days=days, tables=tables)
+    gold = P.run_gold(spark, layout, days=days, tables=tables)
     P.run_export(spark, layout, days=days, gold=gold)
 
 
@@ -42,13 +46,14 @@ def _touched_days(batch: DataFrame) -> list[str]:
 
 def start_bronze_refresh(spark: SparkSession, layout: P.Layout, checkpoint: str | None = None,
                          available_now: bool = True, processing_time: str | None = None,
-                         max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the refresh stream; returns the running query (``awaitTermination()`` it)."""
+                         max_files_per_trigger: int = 10_000) -> StreamingQuery:
+    """Start the refresh stream; returns the running query (``awaitTermination()`` it).
+    ``max_files_per_trigger`` splits a backlog over micro-batches; it leaves nothing out."""
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "bronze-refresh")
-    reader = spark.readStream.schema(schemas.INVERTER_BRONZE)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(layout.b(P.INVERTERS)).select("dt")
+    schema = "path string, modificationTime timestamp, length bigint, content binary, dt string"
+    stream = (spark.readStream.format("binaryFile").schema(schema)
+              .option("maxFilesPerTrigger", max_files_per_trigger)
+              .load(layout.b(P.INVERTERS)).select("dt"))
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         refresh_days(batch.sparkSession, layout, _touched_days(batch))
