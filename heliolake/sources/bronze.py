@@ -32,8 +32,8 @@ def read_json_documents(spark: SparkSession, root: str, dt=None, start=None, end
         return spark.createDataFrame([], "body string, source_file string, dt string")
     df = _days(reader.text(folders or root), dt, start, end, days)
     cut = F.col("value").rlike(r'^\s*["}]')  # the separator took the opening brace
-    return (df.select(F.when(cut, F.concat(F.lit("{"), "value")).otherwise(F.col("value"))
-                       .alias("body"),
+    whole = F.when(cut, F.concat(F.lit("{"), "value")).otherwise(F.col("value"))
+    return (df.select(F.rtrim(whole, F.lit(" \n\r\t")).alias("body"),
                       F.col("_metadata.file_path").alias("source_file"),
                       *[c for c in df.columns if c != "value"])
               .filter(F.col("body").rlike(r"\S")))

@@ -27,7 +27,8 @@ def duck():
 
 def _names():
     from heliolake.plans.driver import QUERIES
-    return sorted(QUERIES)
+    from heliolake.plans.storage import STORAGE_QUERIES
+    return sorted(QUERIES | STORAGE_QUERIES)
 
 
 def test_every_query_has_oracle():
