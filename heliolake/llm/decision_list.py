@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heliolake.llm.shared import NON_SPACE, SPACE, written
+from heliolake.llm.shared import NON_SPACE, SPACE, stripped, written
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
               "n_lines", "n_upper", "n_marks")
@@ -56,7 +56,7 @@ def _repeated(words: Column) -> Column:
 def statistics(text: Column) -> Column:
     """A struct of STATISTICS (long) over the whole text; null counts as empty."""
     text = F.coalesce(text, F.lit(""))
-    trimmed = F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    trimmed = stripped(text)
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
         F.split(trimmed, f"{SPACE}+"))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(NON_SPACE))

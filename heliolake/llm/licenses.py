@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -116,8 +117,8 @@ class LicenseScanner:
         """Best matches that do not overlap: the highest Dice first, then the earliest."""
         lines, at = [], 0
         for line in text.split("\n"):
-            words = _WORD.findall(line.lower())
-            lines.append((at, at + len(line), words))
+            if words := _WORD.findall(line.lower()):  # lines without words add nothing to a window
+                lines.append((at, at + len(line), words))
             at += len(line) + 1
         edge = []
         for _, _, words in lines:
@@ -134,11 +135,13 @@ class LicenseScanner:
                     hit = self._best(Counter(zip(run, run[1:], strict=False)), lines[i][0], lines[j][1])
                     if hit:
                         hits.append(hit)
-        out: list[Match] = []
+        out: list[Match] = []  # by start
         for hit in sorted(hits, key=lambda h: (-h.dice, h.start, -h.stop)):
-            if all(hit.stop <= o.start or hit.start >= o.stop for o in out):
-                out.append(hit)
-        return sorted(out, key=lambda h: h.start)
+            i = bisect_left(out, hit.start, key=lambda o: o.start)
+            if (i == 0 or out[i - 1].stop <= hit.start) and (
+                    i == len(out) or hit.stop <= out[i].start):
+                out.insert(i, hit)
+        return out
 
 
 SCANNED = ("doc_id long, license string, dice double, n_matches long, "

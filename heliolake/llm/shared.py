@@ -55,9 +55,15 @@ def squeezed(text: Column) -> Column:
     return F.regexp_replace(text, r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
 
 
+def stripped(text: Column) -> Column:
+    """Without ASCII white space at either end. A pattern such as ``[ ]+$`` would take
+    quadratic time on a long run of white space inside a text."""
+    return F.trim(text, F.lit(" \t\n\x0b\f\r"))
+
+
 def word_count(text: Column) -> Column:
     """Number of maximal runs of non-white-space; null counts 0."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
+    trimmed = stripped(F.coalesce(text, F.lit("")))
     return F.when(trimmed == "", F.lit(0)).otherwise(
         F.size(F.split(trimmed, f"{SPACE}+"))).cast("long")
 

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from heliolake.llm.shared import bit_filter, flagged, written
 
 #: Units end at line ends, after a sentence mark, and before a word with a capital, so a passage
-#: set into the middle of another text has units of its own.
-_UNIT_END = re.compile(r"\n+|(?<=[.!?]) +| +(?=[A-Z\u00c0-\u00de\u0370-\u03ff\u0400-\u042f])")
+#: set into the middle of another text has units of its own. Runs of spaces are tried from their
+#: beginning only and never given back, so that long ones take linear time.
+_UNIT_END = re.compile(r"\n+|(?<=[.!?]) +|(?<! ) ++(?=[A-Z\u00c0-\u00de\u0370-\u03ff\u0400-\u042f])")
 UNITS = ("doc_id long, row long, idx int, start int, stop int, words int, h1 long, h2 long")
 
 

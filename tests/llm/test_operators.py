@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from heliolake.llm import (
@@ -25,7 +26,7 @@ from heliolake.llm import (
     unit_dedup,
     url_rules,
 )
-from heliolake.llm.shared import table
+from heliolake.llm.shared import table, word_count
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, digest string, size int"
@@ -479,3 +480,19 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "a long, b long")
     roots = {r.node: r.root for r in minhash.components(edges).collect()}
     assert roots == {**{i: 0 for i in range(201)}, 500: 500, 501: 500}
+
+
+def test_long_runs_take_linear_time(spark):
+    """Long white space, blank lines and notices without end: seconds, and nothing is lost."""
+    run = 400_000
+    text = "one two" + " " * run + "three" + "\n" * run + "four" + "\t" * run
+    frame = spark.createDataFrame([(text,)], "text string")
+    got = frame.select(word_count(F.col("text")).alias("n"),
+                       decision_list.statistics(F.col("text")).alias("s")).first()
+    assert got.n == got.s.n_words == 4 and got.s.n_lines == 2
+    assert [x[:3] for x in unit_dedup.units("a b c" + " " * run + "d e f" + " " * run + "G h i")] == [
+        (0, run + 10, 6), (2 * run + 10, 2 * run + 15, 3)]
+    notice = "Released under the MIT License.\n"
+    found = licenses.LicenseScanner(licenses.TEMPLATES, 0.8).scan((notice + "\n" * 50) * 2000)
+    assert len(found) == 2000
+    assert [m.start for m in found[:2]] == [0, len(notice) + 50]
