@@ -29,7 +29,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest doc_id, of each component of near duplicates."""
+    """One document, that with the smallest doc_id, of each component of near duplicates. Rows
+    that share this doc_id are one document and all stay, as do rows without a doc_id."""
     judged = minhash.near_duplicates(docs)
     gone = judged.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
