@@ -50,6 +50,29 @@ def coverage_check(df: DataFrame, column: str, as_of, name: str, message: str,
     return _row(agg, name, F.col("a") >= F.col("b"), F.col("a"), F.col("b"), message)
 
 
+def activity_checks(df: DataFrame, coverage: dict[str, tuple[str, str]], fresh: tuple[str, str],
+                    as_of, day_col: str = "dt") -> DataFrame:
+    """Coverage of several columns (column -> check name, message) and freshness of one table
+    (Q1-Q3) as one row each, from a single scan of the two days they look at."""
+    d1, d2 = _days_before(as_of, 1), _days_before(as_of, 2)
+    on = {d: F.col(day_col) == d for d in (d1, d2)}
+    agg = df.filter(F.col(day_col).isin(d1, d2)).agg(
+        F.count(F.when(on[d1], F.lit(1))).alias("n"),
+        *[F.count_distinct(F.when(on[d], F.col(c))).alias(f"{x}{k}")
+          for k, c in enumerate(coverage) for x, d in (("a", d1), ("b", d2))])
+
+    def row(check, passed, observed, expected):
+        name, message = check
+        return F.struct(F.lit(name).alias("check"), passed.alias("passed"),
+                        observed.cast("bigint").alias("observed"),
+                        expected.cast("bigint").alias("expected"), F.lit(message).alias("message"))
+
+    rows = [row(check, F.col(f"a{k}") >= F.col(f"b{k}"), F.col(f"a{k}"), F.col(f"b{k}"))
+            for k, check in enumerate(coverage.values())]
+    rows.append(row(fresh, F.col("n") > 0, F.col("n"), F.lit(1)))
+    return agg.select(F.inline(F.array(*rows)))
+
+
 def freshness_check(df: DataFrame, as_of, name: str, message: str,
                     day_col: str = "dt") -> DataFrame:
     """At least one row on d-1 (Q3-Q5)."""
@@ -107,13 +130,14 @@ MESSAGES = {
 
 def silver_checks(inverters: DataFrame, inventory: DataFrame, sites: DataFrame,
                   as_of) -> list[DataFrame]:
-    """The eight checks on the three silver tables."""
+    """The eight checks on the three silver tables; the fact table is scanned twice, once for
+    its last two days (Q1-Q3) and once over all days for duplicates (Q6)."""
     m = MESSAGES
     return [
-        coverage_check(inverters, "Local_inverter_id", as_of, "inverter_coverage",
-                       m["inverter_coverage"]),
-        coverage_check(inverters, "Local_site_id", as_of, "site_coverage", m["site_coverage"]),
-        freshness_check(inverters, as_of, "inverters_fresh", m["inverters_fresh"]),
+        activity_checks(inverters, {
+            "Local_inverter_id": ("inverter_coverage", m["inverter_coverage"]),
+            "Local_site_id": ("site_coverage", m["site_coverage"])},
+            ("inverters_fresh", m["inverters_fresh"]), as_of),
         freshness_check(inventory, as_of, "inventory_fresh", m["inventory_fresh"]),
         freshness_check(sites, as_of, "sites_fresh", m["sites_fresh"]),
         duplicate_check(inverters, "inverters_unique", m["inverters_unique"]),

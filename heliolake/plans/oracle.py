@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from heliolake.functions.rules import DEFAULT_RULES
 from heliolake.plans import driver as d
 from heliolake.schemas import AGG_MEASURES, EXPORT_MEASURES, GOLD_INVERTER_COLUMNS
 
@@ -48,14 +47,28 @@ def _silver_sql() -> str:
     FROM b"""
 
 
+# Cap and limit of the cleaned gold columns, written out apart from the library's
+# rule table so that a wrong limit there shows.
+GOLD_LIMITS = {
+    "AC_Current_L1": (200, 210), "AC_Current_L2": (200, 210), "AC_Current_L3": (200, 210),
+    "AC_Voltage_L1": (200, 210), "AC_Voltage_L2": (240, 250), "AC_Voltage_L3": (240, 250),
+    "AC_Current": (240, 260), "Reactive_Power": None,
+}
+
+
+def cleaned_sql(c: str, limits: tuple[int, int] | None) -> str:
+    high = "" if limits is None else (f"WHEN {c} > {limits[1]} THEN NULL "
+                                      f"WHEN {c} >= {limits[0]} THEN {limits[0]} ")
+    return f"CASE WHEN {c} < -1 THEN NULL WHEN {c} <= 0 THEN 0 {high}ELSE {c} END"
+
+
 def _gold_sql() -> str:
-    rules = {r.column: r for r in DEFAULT_RULES}
     cols = []
     for c in GOLD_INVERTER_COLUMNS:
         if c == "Data_Source":
             cols.append(f"'{d.gold_ops.DATA_SOURCE}' AS Data_Source")
-        elif c in rules:
-            cols.append(f"{rules[c].sql()} AS {c}")
+        elif c in GOLD_LIMITS:
+            cols.append(f"{cleaned_sql(c, GOLD_LIMITS[c])} AS {c}")
         else:
             cols.append(c)
     return f"WITH s AS ({_silver_sql()}) SELECT {', '.join(cols)}, dt FROM s"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from heliolake.plans import driver as d
 from heliolake.plans.oracle import (_LOOKUP, _SITES, TS_FMT, _silver_inventory_sql,
-                                    _silver_sites_sql)
+                                    _silver_sites_sql, cleaned_sql)
 
 _DAY = "CASE WHEN s_suppkey % 2 = 0 THEN '2024-03-01' ELSE '2024-03-02' END"
 _TELEMETRY = f"""t AS (
@@ -13,11 +13,6 @@ _TELEMETRY = f"""t AS (
            CAST(s_nationkey * 10 AS DOUBLE) AS volt, {_DAY} AS dt FROM supplier)"""
 
 
-def _cleaned(c: str, cap: int, limit: int) -> str:
-    return (f"CASE WHEN {c} < -1 THEN NULL WHEN {c} <= 0 THEN 0 WHEN {c} > {limit} THEN NULL "
-            f"WHEN {c} >= {cap} THEN {cap} ELSE {c} END")
-
-
 def _kpis(key: str, source: str, time: str, value: str, rest: str = "") -> str:
     return " UNION ALL ".join(
         f"SELECT {key}, CAST({i} AS BIGINT) AS \"Id\", {time} AS \"UpdateTimeUtc\", "
@@ -59,8 +54,8 @@ STORAGE_ORACLE: dict[str, str] = {
                         ("export", "18 * count(*)"))),
     "stream_refresh": (
         f"WITH {_TELEMETRY} SELECT site AS \"Local_site_id\", inv AS \"Local_inverter_id\", "
-        f"read_at AS \"Datetime\", energy AS \"AC_Energy\", {_cleaned('cur', 200, 210)} AS "
-        f"\"AC_Current_L1\", {_cleaned('volt', 200, 210)} AS \"AC_Voltage_L1\", dt FROM t"),
+        f"read_at AS \"Datetime\", energy AS \"AC_Energy\", {cleaned_sql('cur', (200, 210))} AS "
+        f"\"AC_Current_L1\", {cleaned_sql('volt', (200, 210))} AS \"AC_Voltage_L1\", dt FROM t"),
     "catalog_partitions": (
         "SELECT strftime(ts, '%Y-%m-%d') AS dt, count(*) AS n, max(event_id) AS last_event "
         "FROM events GROUP BY strftime(ts, '%Y-%m-%d')"),

@@ -75,6 +75,52 @@ def test_rerun_without_rows_empties_the_day(spark, tmp_path):
     assert [r.x for r in spark.read.parquet(path).collect()] == [2]
 
 
+def _land(root, day, body, site="1"):
+    folder = root / "inverters_data" / f"dt={day}" / f"site_id={site}" / "inv_id=07"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "a.json").write_text(body)
+
+
+GOOD = '{"data": {"telemetries": [{"date": "2024-01-01 10:00:00", "totalEnergy": 1.0}]}}\n'
+
+
+def test_range_rerun_removes_days_without_rows(spark, tmp_path):
+    lay = P.Layout(*[str(tmp_path / x) for x in ("b", "s", "g", "e", "r")])
+    for day in ("2024-01-01", "2024-01-02"):
+        _land(tmp_path / "b", day, GOOD)
+    run = (spark, lay, "2024-01-01", "2024-01-04")
+    P.history_run(*run, tables=(P.INVERTERS,))
+    _land(tmp_path / "b", "2024-01-01", '{"data": {"telemetries": [{"da')
+    P.history_run(*run, tables=(P.INVERTERS,))
+    for path in (lay.s(P.INVERTERS), lay.g(P.INVERTERS), lay.g(P.AGG), lay.export):
+        assert {r.dt for r in spark.read.parquet(path).select("dt").collect()} == {"2024-01-02"}
+    reject = spark.read.parquet(lay.rejects).first()
+    assert (reject.reason, reject.dt, reject.inv_id) == ("not JSON", "2024-01-01", "07")
+    with pytest.raises(FileNotFoundError):  # a day that never landed is no empty day
+        P.daily_run(spark, lay, "2024-01-03", tables=(P.INVERTERS,))
+
+
+def test_documents_of_either_form(spark, tmp_path):
+    (tmp_path / "lines.json").write_text(GOOD * 3)
+    (tmp_path / "indented.json").write_text(
+        "\n".join([json.dumps({"data": {"x": [{"y": 1}]}}, indent=4)] * 2))
+    (tmp_path / "code.json").write_text("403\n")
+    bodies = [r.body for r in bronze.read_json_documents(spark, str(tmp_path)).collect()]
+    assert len(bodies) == 6 and all(json.loads(b) for b in bodies)
+
+
+def test_cursor_versions(spark, tmp_path):
+    path = str(tmp_path / "c")
+    assert incremental.read_cursor(spark, path).count() == 0
+    for day in (1, 2, 3):
+        now = dt.datetime(2024, 5, day)
+        old = incremental.read_cursor(spark, path)
+        incremental.write_cursor(incremental.cursor_upsert(
+            old, incremental.run_marker(spark, now).drop("seq")), path)
+    assert incremental.read_cursor(spark, path).first().last_date == dt.date(2024, 5, 3)
+    assert len(list((tmp_path / "c").glob("v*"))) == 2
+
+
 def test_missing_bronze_and_empty_arguments_fail(spark, tmp_path):
     lay = P.Layout(*[str(tmp_path / x) for x in ("no", "s", "g", "e")])
     with pytest.raises(FileNotFoundError):
