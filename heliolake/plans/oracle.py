@@ -75,7 +75,7 @@ def _gold_sql() -> str:
 
 
 def _agg_sql() -> str:
-    avgs = ", ".join(f"round(avg({m}), {d.ROUND_AVG}) AS {m}" for m in AGG_MEASURES)
+    avgs = ", ".join(f"{_half_up(f'avg({m})', d.ROUND_AVG)} AS {m}" for m in AGG_MEASURES)
     return (f"WITH g AS ({_gold_sql()}) SELECT Account_id, Data_Source, DC_Current, dt, {avgs} "
             "FROM g GROUP BY Account_id, Data_Source, DC_Current, dt")
 
@@ -86,10 +86,10 @@ def _fill(c: str) -> str:
     return f"CASE WHEN isnan({c}) THEN 0.0 ELSE coalesce({c}, 0.0) END"
 
 
-def _round3(x: str) -> str:
+def _half_up(x: str, scale: int = 3) -> str:
     """HALF_UP on the shortest decimal form of the double, as Spark's ``round`` does
     (DuckDB's own ``round`` multiplies first and can cross a .5 boundary)."""
-    return f"CAST(round(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 20)), 3) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 20)), {scale}) AS DOUBLE)"
 
 
 def _export_sql() -> str:
@@ -98,7 +98,7 @@ def _export_sql() -> str:
         parts.append(
             f"SELECT data_source_ AS data_source, local_site_id_ AS local_site_id, "
             f"local_inverter_id_ AS local_inverter_id, time, dt, "
-            f"'{m.lower()}' AS measure_name, {_round3(_fill(m))} AS measure_value "
+            f"'{m.lower()}' AS measure_name, {_half_up(_fill(m))} AS measure_value "
             f"FROM base")
     meas = ", ".join(EXPORT_MEASURES)
     return (f"WITH g AS ({_gold_sql()}), base AS (SELECT Data_Source AS data_source_, "
@@ -121,7 +121,7 @@ def _unpivot_sql() -> str:
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     return " UNION ALL ".join(
         f"SELECT l_orderkey, l_linenumber, '{c}' AS measure_name, "
-        f"{_round3(_fill(c))} AS measure_value FROM lineitem" for c in cols)
+        f"{_half_up(_fill(c))} AS measure_value FROM lineitem" for c in cols)
 
 
 def _day(n: int) -> str:
