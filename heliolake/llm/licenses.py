@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -67,8 +69,8 @@ _WORD = re.compile(r"[^\W_]+")
 
 
 def bigrams(text: str) -> Counter:
-    """Word bigrams of the normalised text (lower case, words of letters and digits)."""
-    words = _WORD.findall(text.lower())
+    """Word bigrams of the normalised text (words of letters and digits, in lower case)."""
+    words = [w.lower() for w in _WORD.findall(text)]
     return Counter(zip(words, words[1:], strict=False))
 
 
@@ -88,60 +90,80 @@ class Match:
 
 
 class LicenseScanner:
-    """Finds spans of consecutive lines that resemble a template.
+    """Finds spans of consecutive words that resemble a template, anywhere in a text.
 
-    The whole text, and every window of consecutive lines that begins and ends with a line
-    holding a bigram of some template, is compared with the templates of fitting size: a Dice
-    coefficient of t needs t / (2 - t) times the template's bigrams at least and (2 - t) / t times
-    at most. Windows grow only as far as the largest template allows."""
+    For each template every window that begins and ends with one of its bigrams counts, within a
+    line or over several: cutting a foreign bigram off either end only raises the Dice
+    coefficient, so no better window is left out. A Dice coefficient of t needs t / (2 - t) times
+    the template's bigrams at least and (2 - t) / t times at most, for each template by itself;
+    a start without that many of the template's bigrams ahead is passed over."""
 
     def __init__(self, templates: tuple[tuple[str, str], ...], threshold: float):
         self.threshold = threshold
         self.templates = [(name, bigrams(text)) for name, text in templates]
+        self.totals = [b.total() for _, b in self.templates]
         low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-        self.bounds = [(low * b.total(), high * b.total()) for _, b in self.templates]
-        self.largest = max(high for _, high in self.bounds)
-        self.known = frozenset(g for _, b in self.templates for g in b)
-        self.first_words = frozenset(g[0] for g in self.known)
-
-    def _best(self, found: Counter, start: int, stop: int) -> Match | None:
-        size, best = found.total(), None
-        for k, (name, grams) in enumerate(self.templates):
-            if self.bounds[k][0] <= size <= self.bounds[k][1]:
-                d = dice(found, grams)
-                if d >= self.threshold and (best is None or d > best.dice):
-                    best = Match(name, k, d, start, stop)
+        self.bounds = [(max(1, ceil(low * n - 1e-9)), high * n + 1e-9) for n in self.totals]
+        self.by_gram: dict[tuple[str, str], list[int]] = {}
+        for k, (_, grams) in enumerate(self.templates):
+            for g in grams:
+                self.by_gram.setdefault(g, []).append(k)
+
+    def _best(self, k: int, at: list[int], words: list[str], a: int, end: int
+              ) -> tuple[float, int] | None:
+        """Dice and stop of template k's best window from its a-th bigram to word ``end`` at most;
+        of equal ones the longest. ``at`` has the places of the template's bigrams."""
+        grams, total, (least, most) = self.templates[k][1], self.totals[k], self.bounds[k]
+        if a + least > len(at) or at[a + least - 1] - at[a] + 1 > most:
+            return None
+        shared, seen, best = 0, Counter(), None
+        for b in range(a, len(at)):
+            i = at[b]
+            size = i - at[a] + 1
+            if size > most or i + 2 > end:
+                break
+            g = words[i], words[i + 1]
+            seen[g] += 1
+            if seen[g] <= grams[g]:
+                shared += 1
+                d = 2 * shared / (size + total)
+                if d >= self.threshold and (best is None or d >= best[0]):
+                    best = d, i + 2
+                    most = min(most, 2 * total / d - total + 1e-9)  # longer ones are worse
         return best
 
     def scan(self, text: str) -> list[Match]:
         """Best matches that do not overlap: the highest Dice first, then the earliest."""
-        lines, at = [], 0
-        for line in text.split("\n"):
-            if words := _WORD.findall(line.lower()):  # lines without words add nothing to a window
-                lines.append((at, at + len(line), words))
-            at += len(line) + 1
-        edge = []
-        for _, _, words in lines:
-            edge.append(not self.first_words.isdisjoint(words)
-                        and any(g in self.known for g in zip(words, words[1:], strict=False)))
-        hits = []
-        for i in (k for k, e in enumerate(edge) if e):
-            run: list[str] = []
-            for j in range(i, len(lines)):
-                run += lines[j][2]
-                if len(run) - 1 > self.largest:
-                    break
-                if edge[j]:
-                    hit = self._best(Counter(zip(run, run[1:], strict=False)), lines[i][0], lines[j][1])
-                    if hit:
-                        hits.append(hit)
-        out: list[Match] = []  # by start
-        for hit in sorted(hits, key=lambda h: (-h.dice, h.start, -h.stop)):
-            i = bisect_left(out, hit.start, key=lambda o: o.start)
-            if (i == 0 or out[i - 1].stop <= hit.start) and (
-                    i == len(out) or hit.stop <= out[i].start):
-                out.insert(i, hit)
-        return out
+        words = "\n".join(_WORD.findall(text)).lower().split("\n")
+        at: dict[int, list[int]] = {}
+        for i, g in enumerate(zip(words, words[1:], strict=False)):
+            if g in self.by_gram:
+                for k in self.by_gram[g]:
+                    at.setdefault(k, []).append(i)
+        heap = []
+        for k, places in at.items():
+            for a, i in enumerate(places):
+                if found := self._best(k, places, words, a, len(words)):
+                    heap.append((-found[0], i, -found[1], k, a))
+        if not heap:
+            return []
+        heapify(heap)
+        starts: list[int] = []
+        out: list[tuple[float, int, int, int]] = []  # by start
+        while heap:
+            d, i, stop, k, a = heappop(heap)
+            n = bisect_right(starts, i)
+            if n and out[n - 1][2] > i:
+                continue
+            if n < len(out) and -stop > starts[n]:  # the best one before the next match
+                if found := self._best(k, at[k], words, a, starts[n]):
+                    heappush(heap, (-found[0], i, -found[1], k, a))
+                continue
+            starts.insert(n, i)
+            out.insert(n, (-d, i, -stop, k))
+        spans = [m.span() for m in _WORD.finditer(text)]
+        return sorted((Match(self.templates[k][0], k, d, spans[i][0], spans[stop - 1][1])
+                       for d, i, stop, k in out), key=lambda m: m.start)
 
 
 SCANNED = ("doc_id long, license string, dice double, n_matches long, "

@@ -382,6 +382,49 @@ def test_license_bounds_lose_no_template(words):
     assert (found[0].dice if found else 0) == (best if best >= 0.8 else 0)
 
 
+def test_license_notices_inside_lines():
+    scanner = licenses.LicenseScanner(licenses.TEMPLATES, 0.8)
+    text = "Copyright 2020 Foo Inc. All rights reserved."
+    assert [(m.license, text[m.start:m.stop]) for m in scanner.scan(text)] == [
+        ("All-Rights-Reserved", "All rights reserved")]
+    text = "This project is licensed under the MIT License - see the LICENSE file for details"
+    (found,) = scanner.scan(text)
+    assert found.license == "MIT" and found.dice == 6 / 7  # of the short notice's four bigrams
+    assert text[found.start:found.stop] == "under the MIT License"
+    apache, mit = licenses.TEMPLATES[1][1], licenses.TEMPLATES[4][1]
+    prose = "a long line of the usual kind that says nothing about terms " * 200
+    found = scanner.scan(f"{prose}{apache} {prose}{mit} {prose}")
+    assert [(m.license, m.dice) for m in found] == [("Apache-2.0", 1.0), ("MIT", 1.0)]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["released under the mit license", "licensed under", "cc by 4 0",
+                                 "licensed under cc by nc 4 0", "all rights", "reserved", "the",
+                                 "prose"]), max_size=6), st.sampled_from([0.6, 0.8]))
+def test_license_matches_equal_all_word_windows(parts, threshold):
+    words = " ".join(parts).split()
+    hits = []
+    for i in range(len(words)):
+        for j in range(i + 2, len(words) + 1):
+            grams = licenses.bigrams(" ".join(words[i:j]))
+            dices = [licenses.dice(grams, licenses.bigrams(t)) for _, t in licenses.TEMPLATES]
+            if max(dices) >= threshold:
+                hits.append((-max(dices), i, -j))
+    want = []
+    for d, i, j in sorted(hits):
+        if all(-j <= a or i >= b for a, b, _ in want):
+            want.append((i, -j, -d))
+    text = " ".join(words)
+    found = licenses.LicenseScanner(licenses.TEMPLATES, threshold).scan(text)
+    assert [(text[m.start:m.stop], m.dice) for m in found] == [
+        (" ".join(words[i:j]), d) for i, j, d in sorted(want)]
+
+
+def test_license_scan_of_repeated_notices_is_linear():
+    scanner = licenses.LicenseScanner(licenses.TEMPLATES, 0.8)
+    assert len(scanner.scan(" ".join([licenses.TEMPLATES[4][1]] * 500))) == 500
+
+
 # -- 9 quality rules ---------------------------------------------------------------------
 
 def _stats(text):
