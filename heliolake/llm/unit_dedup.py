@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -13,29 +14,93 @@ from pyspark.sql import functions as F
 from heliolake.llm.shared import bit_filter, flagged, written
 
 #: Units end at line ends, after a sentence mark, and before a word with a capital, so a passage
-#: set into the middle of another text has units of its own. Runs of spaces are tried from their
+#: set into the middle of another text has units of its own. Long units are cut further by content. Runs of spaces are tried from their
 #: beginning only and never given back, so that long ones take linear time.
 _UNIT_END = re.compile(r"\n+|(?<=[.!?]) +|(?<! ) ++(?=[A-Z\u00c0-\u00de\u0370-\u03ff\u0400-\u042f])")
 UNITS = ("doc_id long, row long, idx int, start int, stop int, words int, h1 long, h2 long")
 
 
+#: Longer units are cut further (words); pairs of words of which the least hash is a cut.
+LONGEST, WIDTH = 12, 9
+#: Scripts written without spaces (Thai, Lao, Myanmar, Khmer, kana, Han): a token is a character,
+#: and two of them count as a word.
+_DENSE = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+          "\uf900-\ufaff\U00020000-\U0003ffff")
+_DENSE_CHAR, _TOKEN = re.compile(f"[{_DENSE}]"), re.compile(rf"[{_DENSE}]|[^\s{_DENSE}]+")
+
+
+def _n_words(tokens: list[str], dense: bool) -> int:
+    return len(tokens) - (sum(_DENSE_CHAR.match(t) is not None for t in tokens) // 2 if dense else 0)
+
+
+def _digest(tokens: list[str]) -> bytes:
+    return hashlib.blake2b(" ".join(tokens).encode("utf-8", "surrogatepass"),
+                           digest_size=16).digest()
+
+
+def _cuts(tokens: list[str], width: int, gap: int) -> list[int]:
+    """Where to cut, by content alone: between the two words whose hash is the smallest of
+    ``width`` consecutive pairs. Any ``width`` + 1 words have a cut that the words around them do
+    not move. Cuts less than ``gap`` words after another, or before the end, are left out."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in tokens]
+    hashes = [crc32(y, crc32(x)) for x, y in zip(raw, raw[1:], strict=False)]
+    out, last, least = [], 0, -1
+    for i in range(len(hashes) - width + 1):
+        end = i + width - 1
+        if least < i:
+            window = hashes[i:end + 1]
+            least = end - window[::-1].index(min(window))
+        elif hashes[end] <= hashes[least]:
+            least = end
+        if least + 1 - last >= gap and least + 1 <= len(tokens) - gap:
+            last = least + 1
+            out.append(last)
+    return out
+
+
 def units(text: str, min_words: int = 3) -> list[tuple[int, int, int, bytes]]:
     """(start, stop, words, digest) of the units that have ``min_words`` words at least.
 
-    Offsets count characters of the original text. The digest is over the unit in lower case
-    with white space squeezed."""
-    out, start = [], 0
-    spans = []
+    Consecutive units with fewer words are one; units of more than ``LONGEST`` words are cut
+    further. Offsets count characters of the original text. The digest is over the unit in lower
+    case with white space squeezed."""
+    out: list[tuple[int, int, int, bytes]] = []
+    dense = not text.isascii() and _DENSE_CHAR.search(text) is not None
+
+    def split(a: int, b: int) -> tuple[list[str], int]:
+        tokens = _TOKEN.findall(text[a:b].lower()) if dense else text[a:b].lower().split()
+        return tokens, _n_words(tokens, dense)
+
+    def add(a: int, b: int, tokens: list[str], n: int) -> None:
+        if n <= LONGEST:
+            if n >= min_words:
+                out.append((a, b, n, _digest(tokens)))
+            return
+        scale = 2 if 4 * (len(tokens) - n) > len(tokens) else 1  # mostly characters
+        cuts = [0, *_cuts(tokens, WIDTH * scale, min_words * scale), len(tokens)]
+        spans = [m.span() for m in _TOKEN.finditer(text, a, b)]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            part = tokens[i:j]
+            out.append((spans[i][0] if i else a, spans[j - 1][1] if j < len(tokens) else b,
+                        _n_words(part, dense), _digest(part)))
+
+    spans, start = [], 0
     for m in _UNIT_END.finditer(text):
         spans.append((start, m.start()))
         start = m.end()
     spans.append((start, len(text)))
+    short: list[tuple[int, int]] = []
     for a, b in spans:
-        words = text[a:b].lower().split()
-        if len(words) >= min_words:
-            digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"),
-                                     digest_size=16).digest()
-            out.append((a, b, len(words), digest))
+        tokens, n = split(a, b)
+        if 0 < n < min_words:
+            short.append((a, b))
+        elif n:
+            if len(short) > 1:
+                add(short[0][0], short[-1][1], *split(short[0][0], short[-1][1]))
+            short = []
+            add(a, b, tokens, n)
+    if len(short) > 1:
+        add(short[0][0], short[-1][1], *split(short[0][0], short[-1][1]))
     return out
 
 
@@ -62,11 +127,12 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_units(docs: DataFrame, min_words: int = 25) -> DataFrame:
     """Documents without the passages that occur earlier, with the offsets of what went.
 
-    Units (lines, sentences, and what begins with a capital inside one) are digested and the
-    digests grouped globally; the earliest occurrence, ranked by (doc_id, position), stays. Of
+    Units (lines, sentences, what begins with a capital inside one, and pieces of long ones cut by
+    their own words) are digested and the digests grouped globally; the earliest occurrence, ranked by (doc_id, position), stays. Of
     the others, runs of consecutive repeated units with ``min_words`` words or more are removed,
-    so short phrases that any text may share stay. Units of fewer than three words are not
-    digested; inside a run they go with it.
+    so short phrases that any text may share stay. Single units of fewer than three words are not
+    digested; inside a run they go with it. A passage loses up to twelve words at either end to
+    units it shares with its surroundings, a few more where the cuts there lie close together.
 
     Returns doc_id, text (what remains), n_repeated (units), removed (array of start, stop, words
     in the original text's characters, and keep_doc_id, where the run's first unit stays).

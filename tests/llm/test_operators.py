@@ -202,6 +202,29 @@ def test_passages_inside_lines(spark):
     assert all(rows[i].text == texts[i] for i in (0, 1, 3))
 
 
+def test_passages_inside_long_sentences(spark):
+    """A passage of 51 words (102 Chinese characters) with no mark or capital at either end, and
+    one of names only, each set into two long sentences."""
+    def words(stem, n):
+        return " ".join(f"{stem}{zlib.crc32(f'{stem}{i}'.encode()):x}" for i in range(n))
+
+    def han(seed, n):
+        return "".join(chr(0x4e00 + zlib.crc32(f"{seed}{i}".encode()) % 4096) for i in range(n))
+
+    texts = [f"{words('a', 40)} {words('p', 51)} {words('b', 40)}",
+             f"{words('c', 23)} {words('p', 51)} {words('d', 31)}",
+             f"{han('e', 70)}{han('q', 102)}{han('f', 50)}", f"{han('g', 33)}{han('q', 102)}{han('h', 90)}",
+             f"{words('i', 9).title()} {words('r', 51).title()} {words('j', 9).title()}",
+             f"{words('k', 8).title()} {words('r', 51).title()} {words('l', 7).title()}"]
+    rows = {r.doc_id: r for r in unit_dedup.dedup_units(_docs(spark, texts)).collect()}
+    for i in (0, 2, 4):
+        assert rows[i].removed == [] and rows[i].text == texts[i]
+        (cut,) = rows[i + 1].removed
+        assert cut.words >= 25 and cut.keep_doc_id == i
+        assert texts[i + 1][cut.start:cut.stop] in texts[i]
+        assert rows[i + 1].text == texts[i + 1][:cut.start] + texts[i + 1][cut.stop:]
+
+
 def test_passages_match_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in table(spark, SF, "documents").collect()]
     first, found = {}, {}
