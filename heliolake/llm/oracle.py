@@ -101,5 +101,26 @@ SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT near A
 FROM g GROUP BY doc_id
 """
 
+_SEARCH = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS a FROM documents),
+b AS (SELECT item_id, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+s AS (SELECT count(*) AS n_docs, sum(len(a))::BIGINT AS total FROM d WHERE len(a) > 0),
+p AS (SELECT doc_id, term, count(*) AS tf, any_value(n) AS n
+      FROM (SELECT doc_id, len(a)::BIGINT AS n, unnest(a) AS term FROM d) GROUP BY 1, 2),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
+w AS (SELECT b.item_id, b.term,
+             floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+      FROM b JOIN f USING (term), s),
+x AS (SELECT item_id, doc_id,
+             sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // total))))::BIGINT AS score
+      FROM w JOIN p USING (term), s GROUP BY 1, 2),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank,
+             doc_id, score FROM x WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50
+"""
+
 LLM_ORACLE = {"op2_line_dedup": _LINES, "op5_exact_dedup": _EXACT, "op6_url_filters": _URL,
-              "op7_mixing": _MIX, "op10_minhash": _NEAR}
+              "op7_mixing": _MIX, "op10_minhash": _NEAR, "op12_lexical_search": _SEARCH}

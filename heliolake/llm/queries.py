@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from heliolake.llm import (
     decision_list,
+    lexical_search,
     licenses,
     line_dedup,
     minhash,
     mixing,
     packing,
+    piece_encoder,
     stream_dedup,
+    token_alignment,
     toxicity,
     unit_dedup,
     url_rules,
@@ -21,6 +24,7 @@ from heliolake.llm import (
 from heliolake.llm.shared import table
 
 TOKENIZER, PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Fixed values of the URL query: host, path, verdict.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"),
              ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -80,6 +84,28 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = piece_encoder.encode_pieces(table(spark, sf_dir, "documents"), PIECES)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(ids, 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search_documents(table(spark, sf_dir, "documents"),
+                                           table(spark, sf_dir, "benchmark"), 50)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align_documents(table(spark, sf_dir, "documents"), TOKENIZER,
+                                              PATTERN, PIECES)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return token_alignment.link_counts(
+        aligned.withColumn("groups_sha256", digest).drop("groups"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_packing, op2_line_dedup, op3_substring_dedup, op4_toxicity, op5_exact_dedup,
-    op6_url_filters, op7_mixing, op8_license_scans, op9_quality_rules, op10_minhash)}
+    op6_url_filters, op7_mixing, op8_license_scans, op9_quality_rules, op10_minhash,
+    op11_sentencepiece, op12_lexical_search, op13_token_alignment)}
