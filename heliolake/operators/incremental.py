@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heliolake.functions.dates import DEFAULT_START_DATE, catch_up_range, date_range
@@ -50,12 +50,14 @@ def known_keys(items: DataFrame, index: DataFrame, key: str = "site_id",
 
 def cursor_read(cursor: DataFrame, key: str = "site_id") -> DataFrame:
     """Latest position per key (C2): the row with the highest ``seq`` (NULL ranks lowest), of
-    those the one with the latest date, then the highest serial number."""
+    those the one with the latest date, then the highest serial number. With its ``moment``
+    where the cursor has that column."""
     order = F.struct(F.coalesce("seq", F.lit(-1)), "last_date", "serial_number")
+    kept = ["serial_number", "last_date", *[c for c in ("moment",) if c in cursor.columns]]
     return (cursor.groupBy(key)
-                  .agg(F.max_by(F.struct("serial_number", "last_date"), order).alias("p"),
-                       F.max("seq").alias("seq"))
-                  .select(key, "p.serial_number", "p.last_date", "seq"))
+                  .agg(F.max_by(F.struct(*kept), order).alias("p"), F.max("seq").alias("seq"))
+                  .select(key, "p.serial_number", "p.last_date", "seq",
+                          *[f"p.{c}" for c in kept[2:]]))
 
 
 def cursor_upsert(cursor: DataFrame, updates: DataFrame, key: str = "site_id",
@@ -65,30 +67,35 @@ def cursor_upsert(cursor: DataFrame, updates: DataFrame, key: str = "site_id",
     Old rows and updates are unioned and reduced per key; an update always wins over the
     stored position and gets ``seq = stored seq + 1`` (per key, so no global counter and
     no join is needed). A new key is inserted with its date, not an empty string. Columns are
-    merged one by one: an update without a serial number keeps the stored one. Among several
-    updates of a key the last by ``update_order`` (a column of ``updates``) wins, else the
-    latest date.
+    merged one by one: an update without a serial number keeps the stored one, one without a
+    ``moment`` the stored moment. Among several updates of a key the last by ``update_order`` (a
+    column of ``updates``) wins, else the latest date.
     """
-    if "serial_number" not in updates.columns:
-        updates = updates.withColumn("serial_number", F.lit(None).cast("string"))
+    timed = "moment" in cursor.columns or "moment" in updates.columns
+    for name, kind in (("serial_number", "string"), *([("moment", "timestamp")] if timed else [])):
+        if name not in updates.columns:
+            updates = updates.withColumn(name, F.lit(None).cast(kind))
+        if name not in cursor.columns:
+            cursor = cursor.withColumn(name, F.lit(None).cast(kind))
+    moment = ["moment"] if timed else []
     turn = F.col(update_order).cast("bigint") if update_order else F.lit(0).cast("bigint")
-    old = cursor.select(key, "serial_number", "last_date", "seq", F.lit(0).alias("is_update"),
-                        F.lit(0).cast("bigint").alias("turn"))
-    new = updates.select(F.col(key).cast("string").alias(key), "serial_number",
+    old = cursor.select(key, "serial_number", *moment, "last_date", "seq",
+                        F.lit(0).alias("is_update"), F.lit(0).cast("bigint").alias("turn"))
+    new = updates.select(F.col(key).cast("string").alias(key), "serial_number", *moment,
                          F.col("last_date").cast("date").alias("last_date"),
                          F.lit(None).cast("bigint").alias("seq"), F.lit(1).alias("is_update"),
                          turn.alias("turn"))
     order = F.struct("is_update", "turn", F.coalesce("seq", F.lit(0)), "last_date",
                      "serial_number")
-    carries = F.when(F.col("serial_number").isNotNull(), order)
+    latest = [F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c)
+              for c in ("serial_number", *moment)]
     return (old.unionByName(new)
                .groupBy(key)
-               .agg(F.max_by("last_date", order).alias("last_date"),
-                    F.max_by("serial_number", carries).alias("serial_number"),
+               .agg(F.max_by("last_date", order).alias("last_date"), *latest,
                     F.coalesce(F.max("seq"), F.lit(0)).alias("top"),
                     F.max("is_update").alias("updated"))
                .select(key, "serial_number", "last_date",
-                       (F.col("top") + F.col("updated")).cast("bigint").alias("seq")))
+                       (F.col("top") + F.col("updated")).cast("bigint").alias("seq"), *moment))
 
 
 def cursor_lookup(sites: DataFrame, cursor: DataFrame, key: str = "site_id",
@@ -110,6 +117,52 @@ def catch_up_work(sites: DataFrame, cursor: DataFrame, as_of, key: str = "site_i
                          .alias("day"))
 
 
+def islands(days: DataFrame, key: str = "site_id", day: str = "day") -> DataFrame:
+    """Stretches of consecutive days per key: (key, first_day, last_day, n_days).
+
+    Within a key the distinct days are numbered in order; day minus number is the same for all
+    days of a stretch. The distinct step is an aggregation with a partial stage, so many rows of
+    one (key, day) cost one; the window then holds one key's days, a few thousand at most. NULL
+    days are no days."""
+    numbered = days.select(key, F.col(day).cast("date").alias("day")).filter(
+        "day IS NOT NULL").distinct().withColumn(
+        "_n", F.row_number().over(Window.partitionBy(key).orderBy("day")))
+    return (numbered.groupBy(key, F.date_sub("day", F.col("_n")).alias("_stretch"))
+            .agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"),
+                 F.count(F.lit(1)).cast("int").alias("n_days")).drop("_stretch"))
+
+
+def advance_cursor(cursor: DataFrame, landed: DataFrame, until, moment=None,
+                   key: str = "site_id", day: str = "day", default: str = DEFAULT_START_DATE
+                   ) -> DataFrame:
+    """Updates that move each key's position over the days that landed without a gap.
+
+    A known key goes on from its ``last_date``, a new one from the day before ``default``; it
+    moves to the last day of the stretch of ``landed`` (key, day) rows up to ``until`` that joins
+    on. Days behind a gap do not move it: they are taken up when the gap is filled. Only keys
+    that move are returned: (key, last_date, open_days, moment), where ``open_days`` counts the
+    days up to ``until`` that have not landed. Feed them to ``cursor_upsert``.
+    """
+    until = until if isinstance(until, F.Column) else F.lit(until)
+    until = until.cast("date")
+    at = cursor_read(cursor, key).select(key, F.col("last_date").alias("_at"))
+    here = landed.select(key, F.col(day).cast("date").alias("day")).filter(F.col("day") <= until)
+    start = F.coalesce("_at", F.date_sub(F.lit(default).cast("date"), 1))
+    known = here.join(at, key, "left").filter(F.col("day") > start)
+    # the position itself counts as landed, also when its files are archived
+    held = known.select(key, "day").unionByName(known.select(key, start.alias("day")))
+    stretches = islands(held, key)
+    return (stretches.join(at, key, "left")
+            .groupBy(key)
+            .agg(F.max(F.when(F.col("first_day") == start, F.col("last_day"))).alias("last_date"),
+                 F.first(start).alias("_start"),
+                 (F.datediff(until, F.first(start)) + 1 - F.sum("n_days")).cast("int")
+                 .alias("open_days"))
+            .filter(F.col("last_date") > F.col("_start"))
+            .select(key, "last_date", "open_days",
+                    F.lit(moment).cast("timestamp").alias("moment")))
+
+
 def read_cursor(spark: SparkSession, path: str) -> DataFrame:
     """The stored cursor table: its newest complete version, or an empty cursor."""
     done = _versions(spark, path)
@@ -142,5 +195,6 @@ def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
 
 
 def run_marker(spark: SparkSession, now: _dt.datetime, key: str = "now") -> DataFrame:
-    """Run-start boundary row (C3), to union into a cursor table as ``site_id = 'now'``."""
-    return spark.createDataFrame([(key, None, now.date(), 0)], CURSOR)
+    """Run-start boundary row (C3), to union into a cursor table as ``site_id = 'now'``: the day
+    and the moment (date and time; with a zone, that instant) of the run."""
+    return spark.createDataFrame([(key, None, now.date(), 0, now)], CURSOR)

@@ -18,6 +18,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 S, D, L = StringType(), DoubleType(), LongType()
@@ -162,9 +163,5 @@ CURSOR = StructType([
     StructField("serial_number", S, True),
     StructField("last_date", DateType(), True),
     StructField("seq", L, True),
+    StructField("moment", TimestampType(), True),
 ])
-
-GEOCODE_LOOKUP = _struct(("query_address", S), ("address", S), ("latitude", D),
-                         ("longitude", D))
-
-KPI_ROW = _struct(("Id", L), ("UpdateTimeUtc", S), ("Value", D))

@@ -1,5 +1,6 @@
 """Writers and partition lifecycle (K1-K6)."""
 
+from heliolake.sinks.day_table import ConcurrentCommit, DayTable
 from heliolake.sinks.writers import (
     drop_previous_snapshot,
     land_bronze_json,
@@ -10,5 +11,5 @@ from heliolake.sinks.writers import (
     write_window,
 )
 
-__all__ = ["drop_previous_snapshot", "land_bronze_json", "replace_day", "truncate_then_load", "write_day",
-           "write_sites_csv", "write_window"]
+__all__ = ["ConcurrentCommit", "DayTable", "drop_previous_snapshot", "land_bronze_json",
+           "replace_day", "truncate_then_load", "write_day", "write_sites_csv", "write_window"]
