@@ -3,8 +3,8 @@
 
 Checks are Spark jobs over whole tables: the coverage checks scan only the two days they
 compare (``dt IN (d-1, d-2)``, partition pruned) in a single pass instead of two scalar
-subqueries joined by a cross join; the duplicate checks group by every column once and
-get both ``count(*)`` and ``count(DISTINCT *)`` from that one aggregation.
+subqueries joined by a cross join; the duplicate checks count 128-bit row hashes and compare
+whole rows only where a hash occurs twice.
 """
 
 from __future__ import annotations
@@ -12,9 +12,12 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from heliolake.session import scratch_dir
+from heliolake.sources.tables import DayOf, any_day, day_value, on_day
+
 CHECK_COLUMNS = ["check", "passed", "observed", "expected", "message"]
 
 
@@ -37,26 +40,27 @@ def _row(df: DataFrame, name: str, passed, observed, expected, message: str) ->
 
 
 def coverage_check(df: DataFrame, column: str, as_of, name: str, message: str,
-                   day_col: str = "dt") -> DataFrame:
-    """Distinct ``column`` values on d-1 must be >= those on d-2 (Q1, Q2)."""
+                   day_col: str | DayOf = "dt") -> DataFrame:
+    """Distinct ``column`` values on d-1 must be >= those on d-2 (Q1, Q2). ``day_col`` is a
+    partition column, or ``DayOf`` a timestamp column whose range is then pushed down."""
     d1, d2 = _days_before(as_of, 1), _days_before(as_of, 2)
-    per_day = (df.filter(F.col(day_col).isin(d1, d2))
-                 .groupBy(day_col)
+    per_day = (df.filter(any_day(day_col, (d1, d2)))
+                 .groupBy(day_value(day_col).alias("_day"))
                  .agg(F.count_distinct(column).alias("n")))
     agg = per_day.agg(
-        F.coalesce(F.max(F.when(F.col(day_col) == d1, F.col("n"))), F.lit(0)).alias("a"),
-        F.coalesce(F.max(F.when(F.col(day_col) == d2, F.col("n"))), F.lit(0)).alias("b"),
+        F.coalesce(F.max(F.when(F.col("_day") == d1, F.col("n"))), F.lit(0)).alias("a"),
+        F.coalesce(F.max(F.when(F.col("_day") == d2, F.col("n"))), F.lit(0)).alias("b"),
     )
     return _row(agg, name, F.col("a") >= F.col("b"), F.col("a"), F.col("b"), message)
 
 
 def activity_checks(df: DataFrame, coverage: dict[str, tuple[str, str]], fresh: tuple[str, str],
-                    as_of, day_col: str = "dt") -> DataFrame:
+                    as_of, day_col: str | DayOf = "dt") -> DataFrame:
     """Coverage of several columns (column -> check name, message) and freshness of one table
     (Q1-Q3) as one row each, from a single scan of the two days they look at."""
     d1, d2 = _days_before(as_of, 1), _days_before(as_of, 2)
-    on = {d: F.col(day_col) == d for d in (d1, d2)}
-    agg = df.filter(F.col(day_col).isin(d1, d2)).agg(
+    on = {d: on_day(day_col, d) for d in (d1, d2)}
+    agg = df.filter(any_day(day_col, (d1, d2))).agg(
         F.count(F.when(on[d1], F.lit(1))).alias("n"),
         *[F.count_distinct(F.when(on[d], F.col(c))).alias(f"{x}{k}")
           for k, c in enumerate(coverage) for x, d in (("a", d1), ("b", d2))])
@@ -74,25 +78,64 @@ def activity_checks(df: DataFrame, coverage: dict[str, tuple[str, str]], fresh:
 
 
 def freshness_check(df: DataFrame, as_of, name: str, message: str,
-                    day_col: str = "dt") -> DataFrame:
+                    day_col: str | DayOf = "dt") -> DataFrame:
     """At least one row on d-1 (Q3-Q5)."""
     d1 = _days_before(as_of, 1)
-    agg = df.filter(F.col(day_col) == d1).agg(F.count(F.lit(1)).alias("n"))
+    agg = df.filter(on_day(day_col, d1)).agg(F.count(F.lit(1)).alias("n"))
     return _row(agg, name, F.col("n") > 0, F.col("n"), F.lit(1), message)
 
 
-def duplicate_check(df: DataFrame, name: str, message: str,
-                    columns: Sequence[str] | None = None) -> DataFrame:
-    """``count(*) = count(DISTINCT *)`` over the whole table (Q6-Q8).
+#: Suspect hashes up to this number are broadcast to find their rows; more are joined by a shuffle.
+SUSPECTS = 100_000
+
+
+def row_hash(columns: Sequence[str]) -> list[F.Column]:
+    """Two 64-bit hashes of a row. The second also covers which columns are NULL (a hash skips
+    NULLs, so rows that differ in where they hold one would collide) and the reverse order."""
+    nulls = F.concat(*[F.col(f"`{c}`").isNull().cast("int").cast("string") for c in columns])
+    cols = [F.col(f"`{c}`") for c in columns]
+    return [F.xxhash64(*cols), F.xxhash64(nulls, *reversed(cols))]
+
 
-    One aggregation keyed by all columns (partial aggregation first, so exact copies
-    collapse before the shuffle); the row count is the sum of the group sizes.
+def duplicate_counts(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[int, int]:
+    """``count(*)`` and ``count(DISTINCT *)`` of a table, exactly, without shuffling its rows.
+
+    First the rows' 128-bit hashes are counted: 24 bytes a row are shuffled, exact copies within
+    a task once. Hashes that occur once belong to distinct rows. The others are kept, and only
+    where there are any the table is read again: their rows, found by the hash, are grouped by
+    all columns, so rows that merely collide count as different. A table without copies is
+    read once.
     """
     cols = list(columns or df.columns)
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("c"))
-    agg = groups.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
-                     F.count(F.lit(1)).alias("d"))
-    return _row(agg, name, F.col("n") == F.col("d"), F.col("n"), F.col("d"), message)
+    first, second = row_hash(cols)
+    hashed = df.select(first.alias("_h1"), second.alias("_h2"))
+    groups = hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_c"))
+    seen = Observation()
+    path = scratch_dir(df.sparkSession, "duplicates")
+    (groups.observe(seen, F.coalesce(F.sum("_c"), F.lit(0)).alias("rows"),
+                    F.count(F.lit(1)).alias("hashes"),
+                    F.count_if(F.col("_c") > 1).alias("suspect"))
+     .filter("_c > 1").select("_h1", "_h2").write.parquet(path))
+    rows, hashes, suspect = (int(seen.get[k]) for k in ("rows", "hashes", "suspect"))
+    if not suspect:
+        return rows, hashes
+    keys = df.sparkSession.read.parquet(path)
+    if suspect <= SUSPECTS:
+        keys = F.broadcast(keys)
+    whole = (df.select(*[F.col(f"`{c}`") for c in cols])
+             .withColumn("_h1", first).withColumn("_h2", second)
+             .join(keys, ["_h1", "_h2"], "left_semi"))
+    distinct = whole.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.lit(1)).count()
+    return rows, hashes - suspect + distinct
+
+
+def duplicate_check(df: DataFrame, name: str, message: str,
+                    columns: Sequence[str] | None = None) -> DataFrame:
+    """``count(*) = count(DISTINCT *)`` over the whole table (Q6-Q8), by ``duplicate_counts``,
+    which runs here: the row returned holds its two numbers."""
+    rows, distinct = duplicate_counts(df, columns)
+    one = df.sparkSession.range(1)
+    return _row(one, name, F.lit(rows == distinct), F.lit(rows), F.lit(distinct), message)
 
 
 def report(checks: Sequence[DataFrame], failures_only: bool = False) -> DataFrame:

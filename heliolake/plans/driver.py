@@ -32,7 +32,7 @@ from heliolake.operators import incremental, kpi, quality
 from heliolake.operators import silver as silver_ops
 from heliolake.operators.address import geocode_join
 from heliolake.schemas import AGG_MEASURES, GOLD_INVERTER_COLUMNS
-from heliolake.sources.tables import day_range_filter
+from heliolake.sources.tables import DayOf, day_range_filter
 
 # Parameters of the driver queries.
 EVENTS_RULE = RangeRule("value", lo_null=20, zero_upper=30, hi_null=200, cap=150)
@@ -286,13 +286,14 @@ def _events_dt(spark, sf) -> DataFrame:
 
 
 def q_check_user_coverage(spark, sf):
-    return quality.coverage_check(_events_dt(spark, sf), "user_id", EVENTS_AS_OF,
-                                  "user_coverage", "fewer users yesterday than two days ago")
+    return quality.coverage_check(table(spark, sf, "events"), "user_id", EVENTS_AS_OF,
+                                  "user_coverage", "fewer users yesterday than two days ago",
+                                  DayOf("ts"))
 
 
 def q_check_freshness(spark, sf):
-    return quality.freshness_check(_events_dt(spark, sf), EVENTS_AS_OF, "events_fresh",
-                                   "no events yesterday")
+    return quality.freshness_check(table(spark, sf, "events"), EVENTS_AS_OF, "events_fresh",
+                                   "no events yesterday", DayOf("ts"))
 
 
 def q_check_unique_orders(spark, sf):
@@ -301,13 +302,12 @@ def q_check_unique_orders(spark, sf):
 
 
 def q_check_report(spark, sf):
-    ev = _events_dt(spark, sf)
+    ev, day = table(spark, sf, "events"), DayOf("ts")
     return quality.report([
-        quality.coverage_check(ev, "user_id", EVENTS_AS_OF, "user_coverage",
-                               "fewer users yesterday than two days ago"),
-        quality.coverage_check(ev, "event_type", EVENTS_AS_OF, "type_coverage",
-                               "fewer event types yesterday than two days ago"),
-        quality.freshness_check(ev, EVENTS_AS_OF, "events_fresh", "no events yesterday"),
+        quality.activity_checks(ev, {
+            "user_id": ("user_coverage", "fewer users yesterday than two days ago"),
+            "event_type": ("type_coverage", "fewer event types yesterday than two days ago")},
+            ("events_fresh", "no events yesterday"), EVENTS_AS_OF, day),
         quality.duplicate_check(table(spark, sf, "orders"), "orders_unique",
                                 "duplicate rows - orders"),
         quality.duplicate_check(table(spark, sf, "lineitem").select(

@@ -11,6 +11,8 @@ created, which for years of history costs more than the day being processed. The
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,46 @@ def day_range_filter(column: str | Column, start, end) -> Column:
     return (c >= _lit_day(start)) & (c < _lit_day(end))
 
 
+@dataclass(frozen=True)
+class DayOf:
+    """The day of a timestamp column where a table has no ``dt`` (F1).
+
+    Predicates are ranges on the column itself (``ts >= d AND ts < d + 1``), not on a computed
+    day, so both bounds reach the Parquet reader and row groups of other days are skipped."""
+    column: str
+
+    def on(self, d) -> Column:
+        day = _dt.date.fromisoformat(_day_str(d)[:10])
+        return self.between(day, day + _dt.timedelta(days=1))
+
+    def between(self, start, end) -> Column:
+        """Half-open: ``start <= day < end``."""
+        at = [F.lit(f"{_day_str(x)[:10]} 00:00:00").cast("timestamp") for x in (start, end)]
+        return (F.col(self.column) >= at[0]) & (F.col(self.column) < at[1])
+
+    def value(self) -> Column:
+        return F.date_format(self.column, "yyyy-MM-dd")
+
+
+def on_day(day: str | DayOf, d) -> Column:
+    """``day = d`` for a ``dt`` column or the day of a timestamp."""
+    return day.on(d) if isinstance(day, DayOf) else day_filter(_day_str(d), day)
+
+
+def any_day(day: str | DayOf, days: Sequence) -> Column:
+    """``day IN (days)``."""
+    if not isinstance(day, DayOf):
+        return F.col(day).isin([_day_str(d) for d in days])
+    out = F.lit(False)
+    for d in days:
+        out = out | day.on(d)
+    return out
+
+
+def day_value(day: str | DayOf) -> Column:
+    return day.value() if isinstance(day, DayOf) else F.col(day)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
