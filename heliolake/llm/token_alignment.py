@@ -255,7 +255,8 @@ def link_counts(aligned: DataFrame) -> DataFrame:
     judged = (totals.withColumn("first", first).join(F.broadcast(top), "first")
               .select("pair", "docs", (F.col("docs") == F.col("most")).alias("best")))
     asked = blocks.select("block_id", F.posexplode("pairs").alias("place", "pair"))
-    answers = asked.join(judged, "pair").select("block_id", "place", "docs", "best")
+    answers = asked.join(judged, "pair").select(
+        F.col("block_id").alias("answered"), "place", "docs", "best")
     rows = aligned.drop("pairs", "pair_docs", "row_no")
-    return (rows.groupBy("block_id").cogroup(answers.groupBy("block_id"))
+    return (rows.groupBy("block_id").cogroup(answers.groupBy("answered"))
             .applyInArrow(_score, SCORED))
