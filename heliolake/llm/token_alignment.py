@@ -12,7 +12,7 @@ import contextlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from operator import add
+from operator import add, itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,10 @@ from heliolake.llm.shared import written
 
 #: A pair of ids as one long: first id times this, plus second id.
 PAIR = 1 << 24
+#: Units of text whose ids a worker remembers, in two generations of this many at most.
+MEMO = 1 << 18
+#: Ids of a unit that the tokenizers do not spell alike.
+UNLIKE = (b"", b"", b"")
 #: Links of the documents that are counted together, about (a longer document is one block).
 BLOCK_LINKS = 1 << 19
 
@@ -69,7 +73,8 @@ def align(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int,
 
 class TokenPair:
     """Tokenizer A (byte-level BPE file, run on a space and the text) and tokenizer B
-    (sentencepiece file, which adds the space itself) with the bytes of their tokens."""
+    (sentencepiece file, which adds the space itself) with the bytes of their tokens. The pattern
+    that splits A's text must not join a space to the character before it."""
 
     def __init__(self, byte_bpe: str, pattern: str, pieces: str):
         from sentencepiece import SentencePieceProcessor
@@ -90,6 +95,12 @@ class TokenPair:
         self.text_a, self.text_b = ([str(i) for i in range(len(t))]
                                     for t in (self.bytes_a, self.bytes_b))
         self.text_one = [f"{t}|" for t in self.text_a]
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
+        self.mark = self.b.piece_to_id(SPACE_MARK)
+        self.by_unit = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
+        self.wide, self.border = re.compile(r"\s "), re.compile(r"(?<=\S)(?= )")
+        self.memo: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
 
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -97,26 +108,75 @@ class TokenPair:
             return bytes([int(piece[3:5], 16)])
         return piece.replace(SPACE_MARK, " ").encode()
 
+    def _units(self, text: str) -> list[str]:
+        """The text cut before each space that follows a character that is no white space, without
+        those spaces. Neither tokenizer joins a space to such a character, so units are encoded
+        alike alone and in their text."""
+        if not self.by_unit:
+            return [text]
+        units = text.split(" ")
+        if "" in units or self.wide.search(text):
+            units = [u[1:] for u in self.border.split(" " + text)]
+        return units
+
+    def _learn(self, units: set[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Ids of both tokenizers for units that are not remembered: encoded as one text, whose
+        ids are cut at the units' ends, or one by one if a unit ends with white space (the last
+        of its text) or is not spelt alike."""
+        order = [u for u in units if u and not u[-1].isspace()]
+        new = self._spelt(order) if order else {}
+        if UNLIKE in new.values():
+            new = {}
+        for unit in units - new.keys():
+            new |= self._spelt([unit])
+        for unit, entry in new.items():
+            if len(unit) <= 64:
+                if len(self.memo) >= MEMO:
+                    self.older, self.memo = self.memo, {}
+                self.memo[unit] = entry
+        return new
+
+    def _spelt(self, units: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        text = " ".join(units)
+        raw = (" " + text).encode()
+        a = self._ids_a(" " + text)
+        b = np.array(self.b.encode(text) if text else [self.mark], np.int32)
+        if (b"".join(map(self.bytes_a.__getitem__, a.tolist())) != raw
+                or b"".join(map(self.bytes_b.__getitem__, b.tolist())) != raw):
+            return dict.fromkeys(units, UNLIKE)
+        ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        cut_a, cut_b = (np.searchsorted(size[ids].cumsum(), ends) + 1
+                        for size, ids in ((self.size_a, a), (self.size_b, b)))
+        raw_a, raw_b = a.tobytes(), b.tobytes()
+        new, x, y = {}, 0, 0
+        for unit, p, q in zip(units, (4 * cut_a).tolist(), (4 * cut_b).tolist(), strict=True):
+            new[unit] = raw_a[x:p], raw_b[y:q]
+            x, y = p, q
+        return new
+
     def tokens(self, text: str) -> tuple[list[int], list[int], list[int], list[int]]:
         """Ids and byte ends of both; empty where either does not spell space and text."""
         none: tuple = [], [], [], []
         if not text:
             return none
-        raw = (" " + text).encode()
-        b = self.b.encode(text)
-        if b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+        units = self._units(text)
+        found = list(map(self.memo.get, units))
+        if None in found:
+            older = self.older
+            found = [e or older.get(u) for e, u in zip(found, units, strict=True)]
+            new = self._learn({u for e, u in zip(found, units, strict=True) if e is None})
+            found = [e or new[u] for e, u in zip(found, units, strict=True)]
+        if UNLIKE in found:
             return none
-        a, ends_a = self._ids_a(" " + text)
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw:
-            return none
-        return a, b, ends_a, self.size_b[np.array(b)].cumsum().tolist()
+        a, b = (np.frombuffer(b"".join(map(itemgetter(k), found)), np.int32) for k in (0, 1))
+        return (a.tolist(), b.tolist(), self.size_a[a].cumsum().tolist(),
+                self.size_b[b].cumsum().tolist())
 
-    def _ids_a(self, text: str) -> tuple[list[int], list[int]]:
+    def _ids_a(self, text: str) -> np.ndarray:
         if len(text) > self.a.limit and self.long_run.search(text):
-            ids = np.array(self.a.model.encode(text, add_special_tokens=False).ids)
-        else:
-            ids = self.a.fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
-        return ids.tolist(), self.size_a[ids].cumsum().tolist()
+            return np.array(self.a.model.encode(text, add_special_tokens=False).ids, np.int32)
+        return self.a.fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=()
+                                           ).astype(np.int32)
 
     def aligned(self, text: str) -> tuple[int, int, int, str, np.ndarray]:
         """Tokens of A and of B, groups, the groups as text, and the pair of each link."""
