@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,32 +15,20 @@ from heliolake.schemas import AGG_KEYS, AGG_MEASURES, GOLD_INVERTER_COLUMNS
 DATA_SOURCE = "Solar Edge"
 PLACEHOLDER_COORDINATE = 0
 
-_PASS_THROUGH = [
-    "Datetime", "Local_site_id", "Local_inverter_id", "AC_Voltage", "AC_Power", "AC_Energy",
-    "DC_Voltage", "Power_Factor", "Active_Power", "Temperature", "DC_Current", "DC_Power",
-    "Account_id",
-]
-
-
-def apply_rules(df: DataFrame, rules: Iterable[RangeRule] = DEFAULT_RULES) -> DataFrame:
-    """Replace each ruled column by its cleaned value, in place."""
-    by_col = {r.column: r for r in rules}
-    return df.select(*[by_col[c].expr().alias(c) if c in by_col else F.col(c)
-                       for c in df.columns])
-
-
 def gold_inverters(silver: DataFrame, rules: Sequence[RangeRule] = DEFAULT_RULES,
                    data_source: str = DATA_SOURCE) -> DataFrame:
-    """Gold telemetry (P12 + P11 + P9): pass-through columns, cleaned phase columns and
-    the ``Data_Source`` tag. Keeps ``dt`` when present. One narrow projection."""
-    by_col = {r.column: r for r in rules}
-    ruled = ["AC_Current_L1", "AC_Current_L2", "AC_Current_L3", "AC_Voltage_L1",
-             "AC_Voltage_L2", "AC_Voltage_L3", "AC_Current", "Reactive_Power"]
-    cols = [F.col(c) if c not in by_col else by_col[c].expr().alias(c) for c in _PASS_THROUGH]
-    cols += [by_col[c].expr().alias(c) if c in by_col else F.col(c) for c in ruled]
-    cols.append(F.lit(data_source).alias("Data_Source"))
+    """Gold telemetry (P12 + P11 + P9): pass-through columns, columns cleaned by their rule and
+    the ``Data_Source`` tag, in gold order. Keeps ``dt`` when present. One narrow projection."""
+    by_col = {r.column: r for r in rules} | {"Data_Source": None}
+
+    def column(c):
+        rule = by_col.get(c, c)
+        if rule is None:
+            return F.lit(data_source).alias(c)
+        return F.col(c) if rule == c else rule.expr().alias(c)
+
     extra = ["dt"] if "dt" in silver.columns else []
-    return silver.select(*cols, *extra).select(*GOLD_INVERTER_COLUMNS, *extra)
+    return silver.select(*[column(c) for c in GOLD_INVERTER_COLUMNS], *extra)
 
 
 def gold_sites(silver_sites: DataFrame) -> DataFrame:

@@ -86,6 +86,11 @@ CHANGE_ORACLE: dict[str, str] = {
         "day_mean FROM u GROUP BY dt) SELECT site AS \"Local_site_id\", inv AS "
         "\"Local_inverter_id\", e AS \"AC_Energy\", u.dt, day_mean FROM u JOIN a ON u.dt = a.dt"),
     "export_records": _records_sql(),
+    "compacted_landing": (
+        f"WITH {_TELEMETRY} SELECT site AS \"Local_site_id\", inv AS \"Local_inverter_id\", "
+        "read_at AS \"Datetime\", CASE WHEN day = '2024-03-02' THEN energy + 1 ELSE energy END AS "
+        f"\"AC_Energy\", day AS dt FROM (SELECT *, {_DAY_OF_3.replace('s_suppkey', 'CAST(inv AS BIGINT)')} "
+        "AS day FROM t) WHERE day >= '2024-03-02'"),
     "check_copied_events": (
         "SELECT 'events_unique' AS \"check\", n = d AS passed, n AS observed, d AS expected, "
         "'identical events' AS message FROM (SELECT count(*) + count(*) FILTER (event_id % 5 = 0) "

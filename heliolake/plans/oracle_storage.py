@@ -75,10 +75,9 @@ STORAGE_ORACLE: dict[str, str] = {
         f"WITH {_SITES}, {_LOOKUP} SELECT 'site \"' || CAST(c_custkey AS VARCHAR) || '\", x' AS "
         "name, CAST(c_custkey AS DOUBLE) AS peak_power, address, latitude, longitude FROM sites "
         "JOIN lk ON sites.query_address = lk.query_address"),
-    "snapshot_retention": ("SELECT c_custkey, c_name, '2024-03-02' AS dt FROM customer "
-                           "WHERE c_custkey % 3 <> 0"),
-    "full_refresh": ("SELECT c_custkey, c_mktsegment FROM customer "
-                     "WHERE c_mktsegment <> 'BUILDING'"),
+    "snapshot_retention": ("SELECT c_custkey, upper(c_name || ' b') AS c_name, '2024-03-02' AS dt "
+                           "FROM customer"),
+    "full_refresh": "SELECT c_custkey, lower(c_mktsegment) AS c_mktsegment FROM customer",
     "components": ("SELECT p_size, CAST(p_partkey AS VARCHAR) AS serial_number, p_name AS name, "
                    "p_brand AS manufacturer, p_type AS model FROM part"),
     "catch_up_from_landing": (

@@ -259,21 +259,22 @@ def q_sites_csv(spark, sf):
 
 
 def q_snapshot_retention(spark, sf):
-    """K5: after the second day's snapshot the first one goes."""
+    """K5: after the second day's snapshot, with other names, the first one goes."""
     path = _scratch(spark, "snapshot")
     c = table(spark, sf, "customer").select("c_custkey", "c_name")
     write_day(c.withColumn("dt", F.lit(DAY_1)), path)
-    write_day(c.filter("c_custkey % 3 <> 0").withColumn("dt", F.lit(DAY_2)), path)
+    write_day(c.select("c_custkey", F.upper(F.concat("c_name", F.lit(" b"))).alias("c_name"),
+                       F.lit(DAY_2).alias("dt")), path)
     drop_previous_snapshot(spark, path, DAY_2)
     return spark.read.parquet(path)
 
 
 def q_full_refresh(spark, sf):
-    """K6: the second load replaces the first entirely."""
+    """K6: the second load, with other segment names, replaces the first entirely."""
     path = _scratch(spark, "refresh")
     c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     truncate_then_load(c, path)
-    truncate_then_load(c.filter("c_mktsegment <> 'BUILDING'"), path)
+    truncate_then_load(c.withColumn("c_mktsegment", F.lower("c_mktsegment")), path)
     return spark.read.parquet(path)
 
 

@@ -11,6 +11,7 @@ the bottleneck; each task writes its own file per day it holds instead, and
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,10 +54,28 @@ def write_day(df: DataFrame, path: str, partition_cols: Sequence[str] = ("dt",),
 def replace_day(df: DataFrame, path: str, day, max_records_per_file: int = 5_000_000) -> None:
     """Overwrite of one day's folder (K1), also when ``df`` has no rows: the day is then empty,
     where a dynamic overwrite would leave what an earlier run wrote. All rows must be of
-    ``day``; other days are not touched."""
-    (df.drop("dt").write.mode("overwrite").option("partitionOverwriteMode", "static")
-       .option("maxRecordsPerFile", max_records_per_file)
-       .parquet(f"{path.rstrip('/')}/dt={day}"))
+    ``day``; other days are not touched. The rows are written to a side folder, which readers
+    skip, and take the day's place by a rename when they are whole: a failed run leaves the day
+    as it was. Between the two renames the day is not there; a ``DayTable`` has no such moment."""
+    spark, root = df.sparkSession, path.rstrip("/")
+    fs, new = hadoop_path(spark, f"{root}/_new-{day}-{uuid.uuid4().hex[:8]}")
+    try:
+        (df.drop("dt").write.option("maxRecordsPerFile", max_records_per_file)
+           .parquet(new.toString()))
+    except BaseException:
+        fs.delete(new, True)
+        raise
+    _, there = hadoop_path(spark, f"{root}/dt={day}")
+    _, old = hadoop_path(spark, f"{root}/_old-{day}-{uuid.uuid4().hex[:8]}")
+    moved = fs.exists(there)
+    if moved and not fs.rename(there, old):
+        raise OSError(f"cannot set {there.toString()} aside")
+    if not fs.rename(new, there):
+        if moved:
+            fs.rename(old, there)
+        raise OSError(f"cannot put the new rows at {there.toString()}")
+    if moved:
+        fs.delete(old, True)
 
 
 def _names(fs, folder) -> set[str]:

@@ -2,7 +2,9 @@
 
 from heliolake.sources.bronze import (
     bronze_rejects,
+    compact_landing,
     landed_partitions,
+    read_compacted,
     read_components,
     read_data_period,
     read_energy,

@@ -9,6 +9,7 @@ is opened and ids such as ``0012`` or ``73E4`` stay strings.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from pyspark.sql.types import StructType
 from heliolake import schemas
 from heliolake.sources.tables import day_filter, day_folders, day_range_filter
 
+if TYPE_CHECKING:
+    from heliolake.sinks.day_table import DayTable
+
 
 def read_json_documents(spark: SparkSession, root: str, dt=None, start=None, end=None,
                         days=None) -> DataFrame:
@@ -58,6 +62,32 @@ def bronze_rejects(spark: SparkSession, root: str, schema: StructType = schemas.
                 .drop("_doc"))
 
 
+def compact_landing(spark: SparkSession, root: str, table: "DayTable", dt=None, start=None, end=None,
+                    days=None) -> int:
+    """Keep the documents of a landing's window as rows of ``table``: dt, the path ids, body and
+    source_file, sorted by day, one commit. A window is then read from a few large files pruned
+    by their smallest and largest day; no folder of the landing is listed again. Each body
+    is kept whole, also if it is no JSON. Returns the table's version."""
+    docs = read_json_documents(spark, root, dt, start, end, days)
+    for key in ("site_id", "inv_id"):
+        if key not in docs.columns:
+            docs = docs.withColumn(key, F.lit(None).cast("string"))
+    docs = docs.select("dt", *[F.col(k).cast("string").alias(k) for k in ("site_id", "inv_id")],
+                       "body", "source_file")
+    return table.replace(docs, dt, start, end, days)
+
+
+def read_compacted(table: "DayTable", schema: StructType = schemas.INVERTER_BRONZE, dt=None,
+                   start=None, end=None, days=None) -> DataFrame:
+    """Documents of a window in the shape the bronze readers give (S1-S3), from the compacted
+    landing: only the declared fields are parsed, path ids come from their columns."""
+    docs = table.read(dt, start, end, days)
+    inner = _split_schema(schema, set(docs.columns))
+    parsed = docs.withColumn("_doc", F.from_json("body", inner))
+    return parsed.select(*[F.col(f"_doc.{f.name}") if f in inner.fields else F.col(f.name)
+                           for f in schema.fields])
+
+
 def landed_partitions(spark: SparkSession, root: str,
                       keys: Sequence[str] = ("dt", "site_id", "inv_id")) -> DataFrame:
     """Distinct path keys of the files under ``root`` (C4 against real folders). Only the

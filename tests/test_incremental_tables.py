@@ -14,7 +14,7 @@ import fixtures
 from heliolake.operators import address, agg_state, incremental, quality, shapes
 from heliolake.operators import gold as gold_ops
 from heliolake.plans import pipeline as P
-from heliolake.sinks import read_records, write_records
+from heliolake.sinks import DayTable, read_records, replace_day, write_records
 from heliolake.sinks.record_sink import committed_files
 from heliolake.sources import bronze
 from heliolake.sources.tables import DayOf
@@ -224,6 +224,46 @@ def test_late_file_replaces_its_slot_only(spark, tmp_path):
     assert z == y
 
 
+def test_failed_day_leaves_the_old_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = spark.createDataFrame([(1, "2024-01-01")], "x int, dt string")
+    replace_day(day, path, "2024-01-01")
+    bad = day.withColumn("x", F.expr("CASE WHEN x = 1 THEN raise_error('lost') ELSE x END"))
+    with pytest.raises(Exception, match="lost"):
+        replace_day(bad, path, "2024-01-01")
+    assert [r.x for r in spark.read.parquet(path).collect()] == [1]
+    assert [f for f in os.listdir(path) if not f.startswith(".")] == ["dt=2024-01-01"]
+
+
+def test_compacted_landing_equals_the_files(spark, tmp_path):
+    root = str(tmp_path / "b")
+    fixtures.write_inverters(root)
+    landing = os.path.join(root, "inverters_data")
+    t = DayTable(spark, str(tmp_path / "docs"))
+    bronze.compact_landing(spark, landing, t, start=fixtures.D1, end="2022-12-03")
+    for window in (dict(), dict(dt=fixtures.D2), dict(start=fixtures.D1, end=fixtures.D2)):
+        x = bronze.read_compacted(t, **window)
+        y = bronze.read_inverter_bronze(spark, landing, **window)
+        assert x.columns == y.columns
+        assert sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
+
+
+def test_catalog_and_cutoff(spark, tmp_path):
+    lay = P.Layout(*[str(tmp_path / x) for x in ("b", "s", "g", "e")])
+    _land(lay.bronze, "2024-03-01")
+    assert P.cutoff_run(spark, lay, dt.datetime(2024, 3, 2, 0, 10), (P.INVERTERS,)) == "2024-03-01"
+    spark.sql("CREATE DATABASE IF NOT EXISTS hl_refresh")
+    try:
+        names = P.refresh_tables(spark, lay, "hl_refresh")
+        assert len(names) == 4 and spark.table("hl_refresh.gold_inverters_data").count() == 1
+        _land(lay.bronze, "2024-03-02")
+        assert P.cutoff_run(spark, lay, dt.datetime(2024, 3, 2, 9), (P.INVERTERS,)) == "2024-03-02"
+        assert P.refresh_tables(spark, lay, "hl_refresh") == names
+        assert spark.table("hl_refresh.gold_inverters_data").count() == 2
+    finally:
+        spark.sql("DROP DATABASE hl_refresh CASCADE")
+
+
 # -- K3, S10 -----------------------------------------------------------------------------
 
 def test_record_sink_survives_a_failed_run(spark, tmp_path):
