@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +46,13 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.sha2(squeezed(F.coalesce(text, F.lit(""))), 256))
 
 
+def exact_glob(path: str) -> str:
+    """A pattern that matches ``path`` alone. A file stream takes a table that is one file only
+    by a pattern; one with a wildcard would also take tables whose names begin alike."""
+    path = path.rstrip("/")
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path[:-1]) + f"[{path[-1]}]"
+
+
 def feed_state(spark: SparkSession, path: str, state: str,
                max_files_per_trigger: int | None = None) -> None:
     """Stream the Parquet files below ``path`` that ``state`` has not seen into keyed state.
@@ -59,8 +67,7 @@ def feed_state(spark: SparkSession, path: str, state: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     doc_id = F.col("doc_id").cast("long")
-    # a glob, as a table may be one file or a folder of files
-    keyed = reader.parquet(path + "*").select(
+    keyed = reader.parquet(exact_glob(path)).select(
         text_digest(F.col("text")).alias("digest"), doc_id.alias("id"),
         F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("doc_id"),
                  F.col("_metadata.file_path").alias("file"),

@@ -264,8 +264,11 @@ def test_toxicity_on_held_out_labels(spark):
     assert all(rows[d].held_out == (zlib.crc32(str(d).encode()) % 3 == 1) for d in rows)
     pos, neg = [s for s, y in held if y], [s for s, y in held if not y]
     auc = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
-    assert auc > 0.85  # a tenth of the toxic labels and most foreign ones have no marked word here
-    assert np.mean([s >= 0.7 for s in neg]) < 0.03
+    assert auc > 0.88  # 440 toxic documents to learn four languages from; README has larger ones
+    assert np.mean([s >= 0.7 for s in neg]) < 0.015
+    assert np.mean([s >= 0.7 for s in pos]) > 0.5
+    flagged = [y for s, y in held if s >= 0.7]
+    assert np.mean(flagged) > 0.85
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows.values())
 
 
@@ -276,6 +279,23 @@ def test_toxicity_odd_rows(spark, odd, none):
     assert toxicity.score_toxicity(none, toxicity.train(none, labels.limit(0))).collect() == []
 
 
+def test_toxicity_dictionaries_are_trained():
+    """Words that every sample of one class holds are cheaper under its dictionary, in any
+    language; other words cost about the same under both."""
+    rng = np.random.default_rng(1)
+    parts = ["the", "in", "er", "tion", "ou", "ung", "ch", "ie", "an", "st", "le", "ment"]
+    plain = ["".join(rng.choice(parts, 3)) for _ in range(6000)]
+    marked = ["pathetic", "trash", *["réeux" + "".join(rng.choice(parts, 1)) for _ in range(40)]]
+    bad = [toxicity.window(w) for w in rng.choice(marked, 3000)]
+    model = toxicity.ToxicityModel(toxicity.trained(bad, 2048, 56),
+                                   toxicity.trained([toxicity.window(w) for w in plain[:3000]], 2048, 56))
+    found = toxicity.Distances(model)
+    assert min(found("pathetic trash réeuxst réeuxung")) >= 5
+    assert np.mean(found(" ".join(plain[3000:]))) < 1
+    assert len(found("")) == 0 and toxicity.features(found("")) == toxicity.features(np.zeros(1))
+    assert found("Trash  trash").tolist() == 2 * found("trash").tolist()
+
+
 # -- 5 exact -----------------------------------------------------------------------------
 
 def _brute_exact(docs):
@@ -299,6 +319,22 @@ def test_exact_odd_rows(odd, none, spark, tmp_path):
     assert stream_dedup.dedup_stream(spark, str(tmp_path / "none.parquet")).collect() == []
 
 
+def test_exact_reads_its_own_table_only(spark, tmp_path):
+    docs = _docs(spark, [(10, "same text"), (11, "other text")])
+    for name in ("a.parquet", "a.parquet_old", "a.parquet2"):
+        rows = docs if name == "a.parquet" else _docs(spark, [(1, "same text"), (2, "other text")])
+        rows.coalesce(1).write.parquet(str(tmp_path / name))
+    single = next((tmp_path / "a.parquet").glob("part-*.parquet"))
+    (tmp_path / "one").mkdir()
+    for name in ("b[1].parquet", "b[1].parquet_old"):
+        (tmp_path / "one" / name).write_bytes(single.read_bytes())
+    for path in (tmp_path / "a.parquet", single):
+        got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in
+               stream_dedup.dedup_stream(spark, str(path)).collect()}
+        assert got == {10: (10, 1, True), 11: (11, 1, True)}
+    assert stream_dedup.exact_glob("/x/b[1].parquet/") == r"/x/b\[1\].parque[t]"
+
+
 def test_exact_state_grows_over_batches(spark, tmp_path):
     path, state = str(tmp_path / "d.parquet"), str(tmp_path / "state")
     _docs(spark, [(5, "a  b"), (6, "c")]).write.parquet(path)
