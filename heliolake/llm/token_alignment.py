@@ -12,7 +12,7 @@ import contextlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from operator import add, itemgetter
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -92,9 +92,8 @@ class TokenPair:
             raise ValueError(f"token ids must stay below {PAIR}")
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64)
                                     for t in (self.bytes_a, self.bytes_b))
-        self.text_a, self.text_b = ([str(i) for i in range(len(t))]
-                                    for t in (self.bytes_a, self.bytes_b))
-        self.text_one = [f"{t}|" for t in self.text_a]
+        n = max(len(self.bytes_a), len(self.bytes_b))
+        self.inner, self.last_a, self.last_b = ([f"{i}{mark}" for i in range(n)] for mark in ",|;")
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.mark = self.b.piece_to_id(SPACE_MARK)
         self.by_unit = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
@@ -183,25 +182,40 @@ class TokenPair:
         a, b, ends_a, ends_b = self.tokens(text)
         left: list[int] = []
         right: list[int] = []
-        groups: list[str] = []
-        text_a, text_b = self.text_a, self.text_b
-        one, other = [self.text_one[x] for x in a], [text_b[y] for y in b]
+        parts: list[str] = []  # ids, each with the mark that follows it
+        n_groups = 0
+        inner_a, last_a, inner_b, last_b = (list(map(t.__getitem__, ids)) for t, ids in (
+            (self.inner, a), (self.last_a, a), (self.inner, b), (self.last_b, b)))
         for i, i_stop, j, j_stop in align(ends_a, ends_b):
+            p, q = i_stop - i, j_stop - j
             if ends_a[i] == ends_b[j]:
                 left += a[i:i_stop]
                 right += b[j:j_stop]
-                groups += map(add, one[i:i_stop], other[j:j_stop])
+                pairs = [""] * (2 * p)
+                pairs[::2], pairs[1::2] = last_a[i:i_stop], last_b[j:j_stop]
+                parts += pairs
+                n_groups += p
                 continue
-            groups.append(",".join([text_a[x] for x in a[i:i_stop]]) + "|"
-                          + ",".join(other[j:j_stop]))
-            while i < i_stop:  # both end together, so both run out together
-                left.append(a[i])
-                right.append(b[j])
-                x, y = ends_a[i], ends_b[j]
-                i += x <= y
-                j += y <= x
-        pairs = np.array(left, np.int64) * PAIR + np.array(right, np.int64)
-        return len(a), len(b), len(groups), ";".join(groups), pairs
+            n_groups += 1
+            parts += inner_a[i:i_stop - 1]
+            parts.append(last_a[i_stop - 1])
+            parts += inner_b[j:j_stop - 1]
+            parts.append(last_b[j_stop - 1])
+            if p == 1:
+                left += [a[i]] * q
+                right += b[j:j_stop]
+            elif q == 1:
+                left += a[i:i_stop]
+                right += [b[j]] * p
+            else:
+                while i < i_stop:  # both end together, so both run out together
+                    left.append(a[i])
+                    right.append(b[j])
+                    x, y = ends_a[i], ends_b[j]
+                    i += x <= y
+                    j += y <= x
+        links = np.array(left, np.int64) * PAIR + np.array(right, np.int64)
+        return len(a), len(b), n_groups, "".join(parts)[:-1], links
 
 
 @lru_cache(maxsize=2)
