@@ -24,12 +24,14 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def _suffixes(host: Column) -> Column:
-    """The host and every domain above it, the shortest first; none for an empty host."""
+def _suffixes(host: Column, most: Column) -> Column:
+    """The host and the domains above it that have at most ``most`` labels, the shortest first;
+    none for an empty host. So a host of very many labels has no more suffixes than the longest
+    rule has labels."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(
-        F.transform(F.sequence(F.lit(1), n),
+    return F.when((host == "") | (most < 1), F.array().cast("array<string>")).otherwise(
+        F.transform(F.sequence(F.lit(1), F.least(n, most)),
                     lambda i: F.array_join(F.slice(labels, n - i + F.lit(1), i), ".")))
 
 
@@ -70,8 +72,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow",
              .filter(F.coalesce("domain", F.lit("")) != "")
              .groupBy("domain", "prefix").agg(F.min("verdict").alias("verdict")))
     domains = rules.select("domain").distinct()
+    most = domains.agg(F.max(F.size(F.split("domain", r"\.")))).first()[0] or 0
     points = (seen.select("host", "path").distinct()
-              .select("host", "path", F.explode(_suffixes(F.col("host"))).alias("domain"))
+              .select("host", "path", F.explode(_suffixes(F.col("host"), F.lit(most))).alias("domain"))
               .join(domains, "domain", "left_semi"))
     points = written(points, "url-points")
     counts = points.groupBy("domain").agg(F.count("*").alias("n"))

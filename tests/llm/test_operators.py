@@ -374,6 +374,16 @@ def test_urls_match_brute_force(spark):
     assert url_rules.judge_urls(pages.limit(0), url_rules.rules_frame(spark, rules)).collect() == []
 
 
+def test_hosts_of_very_many_labels(spark):
+    hosts = [".".join("a" * k) for k in (1, 10, 60_000)]
+    pages = spark.createDataFrame([(i, f"http://{h}.example.org/es/x") for i, h in enumerate(hosts)],
+                                  "page_id long, url string")
+    rules = url_rules.rules_frame(spark, [("org", "/", "allow"), ("example.org", "/es/", "block")])
+    got = {r.page_id: (r.rule, r.verdict) for r in url_rules.judge_urls(pages, rules).collect()}
+    assert got == dict.fromkeys(range(3), ("example.org/es/", "block"))
+    assert url_rules.judge_urls(pages, rules.limit(0)).filter("rule IS NULL").count() == 3
+
+
 # -- 7 mixing ----------------------------------------------------------------------------
 
 def _targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
