@@ -26,9 +26,10 @@ def duck():
 
 
 def _names():
+    from heliolake.plans.changes import CHANGE_QUERIES
     from heliolake.plans.driver import QUERIES
     from heliolake.plans.storage import STORAGE_QUERIES
-    return sorted(QUERIES | STORAGE_QUERIES)
+    return sorted(QUERIES | STORAGE_QUERIES | CHANGE_QUERIES)
 
 
 def test_every_query_has_oracle():
