@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,11 +15,17 @@ from pyspark.sql import functions as F
 from heliolake.llm.shared import bit_filter, flagged, written
 
 #: Units end at line ends, after a sentence mark, and before a word with a capital, so a passage
-#: set into the middle of another text has units of its own. Long units are cut further by content. Runs of spaces are tried from their
-#: beginning only and never given back, so that long ones take linear time.
+#: set into the middle of another text has units of its own. Long units are cut further by content.
+#: Runs of spaces are tried from their beginning only and never given back, so that long ones take
+#: linear time.
 _UNIT_END = re.compile(r"\n+|(?<=[.!?]) +|(?<! ) ++(?=[A-Z\u00c0-\u00de\u0370-\u03ff\u0400-\u042f])")
-UNITS = ("doc_id long, row long, idx int, start int, stop int, words int, h1 long, h2 long")
-
+PAIRS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), *[
+    (c, pa.int32()) for c in ("idx", "start", "stop", "before", "words")],
+    ("h1", pa.int64()), ("h2", pa.int64())])
+UNIT_PAIRS = ("doc_id long, row long, idx int, start int, stop int, before int, words int, "
+              "h1 long, h2 long")
+#: Odd numbers that weigh the digests of a pair's two units.
+_FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 #: Longer units are cut further (words); pairs of words of which the least hash is a cut.
 LONGEST, WIDTH = 12, 9
@@ -59,11 +66,11 @@ def _cuts(tokens: list[str], width: int, gap: int) -> list[int]:
 
 
 def units(text: str, min_words: int = 3) -> list[tuple[int, int, int, bytes]]:
-    """(start, stop, words, digest) of the units that have ``min_words`` words at least.
+    """(start, stop, words, digest) of the units; every word of the text lies in one.
 
-    Consecutive units with fewer words are one; units of more than ``LONGEST`` words are cut
-    further. Offsets count characters of the original text. The digest is over the unit in lower
-    case with white space squeezed."""
+    Consecutive units with fewer than ``min_words`` words are one; units of more than ``LONGEST``
+    words are cut further. Offsets count characters of the original text. The digest is over the
+    unit in lower case with white space squeezed."""
     out: list[tuple[int, int, int, bytes]] = []
     dense = not text.isascii() and _DENSE_CHAR.search(text) is not None
 
@@ -73,8 +80,7 @@ def units(text: str, min_words: int = 3) -> list[tuple[int, int, int, bytes]]:
 
     def add(a: int, b: int, tokens: list[str], n: int) -> None:
         if n <= LONGEST:
-            if n >= min_words:
-                out.append((a, b, n, _digest(tokens)))
+            out.append((a, b, n, _digest(tokens)))
             return
         scale = 2 if 4 * (len(tokens) - n) > len(tokens) else 1  # mostly characters
         cuts = [0, *_cuts(tokens, WIDTH * scale, min_words * scale), len(tokens)]
@@ -95,76 +101,98 @@ def units(text: str, min_words: int = 3) -> list[tuple[int, int, int, bytes]]:
         if 0 < n < min_words:
             short.append((a, b))
         elif n:
-            if len(short) > 1:
+            if short:
                 add(short[0][0], short[-1][1], *split(short[0][0], short[-1][1]))
-            short = []
+                short = []
             add(a, b, tokens, n)
-    if len(short) > 1:
+    if short:
         add(short[0][0], short[-1][1], *split(short[0][0], short[-1][1]))
     return out
 
 
-def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [c.split()[0] for c in UNITS.split(", ")]
-    kinds = {"long": pa.int64(), "int": pa.int32()}
-    types = [kinds[c.split()[1]] for c in UNITS.split(", ")]
+def _pairs(docs: list, rows: list, sizes: list[int], found: list[tuple]) -> pa.RecordBatch:
+    """Pairs of consecutive units of the documents: where they lie, words, weighted digests."""
+    start, stop, words, digests = zip(*found, strict=True) if found else ((), (), (), ())
+    halves = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
+    counts = np.array(sizes, np.int64)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    idx = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    this = np.flatnonzero(idx > 0)
+    last = this - 1
+    start, stop, words = (np.array(x, np.int32) for x in (start, stop, words))
+    both = (halves[last] * _FIRST + halves[this] * _SECOND).view(np.int64)
+    of = pa.array(owner[this])
+    return pa.record_batch([
+        pa.array(docs, pa.int64()).take(of), pa.array(rows, pa.int64()).take(of),
+        *map(pa.array, (idx[this].astype(np.int32), start[last], stop[this], words[last],
+                        words[this], both[:, 0], both[:, 1]))], schema=PAIRS)
+
+
+def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        cols: list[list] = [[] for _ in names]
-        for doc, row, text in zip(batch.column("doc_id"), batch.column("row"),
-                                  batch.column("text"), strict=True):
-            doc, row = doc.as_py(), row.as_py()
-            for i, (a, b, n, digest) in enumerate(units(text.as_py() or "")):
-                h1 = int.from_bytes(digest[:8], "little", signed=True)
-                h2 = int.from_bytes(digest[8:], "little", signed=True)
-                for col, value in zip(cols, (doc, row, i, a, b, n, h1, h2), strict=True):
-                    col.append(value)
-            if len(cols[0]) > 50_000:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
-                cols = [[] for _ in names]
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
+        docs, rows, sizes, found = [], [], [], []
+        for doc, row, text in zip(*(batch.column(c) for c in ("doc_id", "row", "text")),
+                                  strict=True):
+            here = units(text.as_py() or "")
+            docs.append(doc.as_py())
+            rows.append(row.as_py())
+            sizes.append(len(here))
+            found += here
+            if len(found) > 50_000:
+                yield _pairs(docs, rows, sizes, found)
+                docs, rows, sizes, found = [], [], [], []
+        yield _pairs(docs, rows, sizes, found)
 
 
 def dedup_units(docs: DataFrame, min_words: int = 25) -> DataFrame:
     """Documents without the passages that occur earlier, with the offsets of what went.
 
     Units (lines, sentences, what begins with a capital inside one, and pieces of long ones cut by
-    their own words) are digested and the digests grouped globally; the earliest occurrence, ranked by (doc_id, position), stays. Of
-    the others, runs of consecutive repeated units with ``min_words`` words or more are removed,
-    so short phrases that any text may share stay. Single units of fewer than three words are not
-    digested; inside a run they go with it. A passage loses up to twelve words at either end to
-    units it shares with its surroundings, a few more where the cuts there lie close together.
-
-    Returns doc_id, text (what remains), n_repeated (units), removed (array of start, stop, words
-    in the original text's characters, and keep_doc_id, where the run's first unit stays).
-    One row per input row. Null and empty texts have no units. Null doc_ids rank last; rows
-    of equal rank (repeated rows) stay alike. An empty table gives no rows; other columns
-    are ignored.
-
-    Scale: digests combine within a task before they are grouped, so a unit that a third of
+    their own words) are digested, each together with the unit before it, and these digests are
+    grouped globally; the earliest occurrence of a pair, ranked by (doc_id, position), stays. Of
+    the others, runs of consecutive repeated pairs with ``min_words`` words or more are removed,
+    so short phrases that any text may share stay. In a removed run every unit follows the one
+    before it in some earlier place as well: sentences that stand in different documents do not
+    make a passage, and words between two repeated units, however few, are a unit themselves and
+    go only if they repeat there. The first occurrence of a unit always stays: a pair that holds
+    it has no earlier one. A passage loses up to twelve words at either end to units it shares
+    with its surroundings, a few more where the cuts there lie close together.
+
+    Returns doc_id, text (what remains), n_repeated (units of repeated pairs), removed (array of
+    start, stop, words in the original text's characters, and keep_doc_id, where the run's first
+    pair stays). One row per input row. Null and empty texts, and those of one unit, have no
+    pairs. Null doc_ids rank last; rows of equal rank (repeated rows) stay alike. An empty table
+    gives no rows; other columns are ignored.
+
+    Scale: digests combine within a task before they are grouped, so a pair that a third of
     the rows share is one row per task; the join back to its occurrences is one that Spark
-    splits when skewed, and only digests that repeat take part. Texts that lose a passage are
-    shuffled once to meet their spans; a filter of fixed size keeps most others out.
+    splits when skewed, and only pairs that repeat, and the few that a filter of fixed size takes
+    for such, are shuffled for it. Texts that lose a passage are shuffled once to meet their
+    spans; a like filter keeps most others out.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
                        F.xxhash64("text").alias("row"))
-    found = written(base.mapInArrow(_unit_rows, UNITS), "units")
+    found = written(base.mapInArrow(_pair_rows, UNIT_PAIRS), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("idx").alias("idx"))
     digest = ["h1", "h2"]
     # narrow numbers first: which digests repeat at all; then their earliest place
-    several = found.groupBy(digest).agg(F.count("*").alias("n")).filter("n > 1").select(digest)
-    again = written(found.join(several, digest), "units-repeated")
+    several = written(found.groupBy(digest).agg(F.count("*").alias("n")).filter("n > 1")
+                      .select(digest), "units-several")
+    maybe = flagged(found, bit_filter(several, "h1"), "h1").filter("_maybe").select(*PAIRS.names)
+    again = written(maybe.join(several, digest), "units-repeated")
     firsts = again.groupBy(digest).agg(F.min(rank).alias("first"))
     later = again.join(firsts, digest).filter(rank > F.col("first"))
     per_doc = ["doc_id", "row"]
     later = later.groupBy(*per_doc, "idx").agg(  # repeated rows bring it twice
-        *[F.max(c).alias(c) for c in ("start", "stop", "words")],
+        *[F.max(c).alias(c) for c in ("start", "stop", "before", "words")],
         F.max("first.doc_id").alias("keep_doc_id"))
     order = Window.partitionBy(per_doc).orderBy("idx")  # no more than a document's units
     runs = (later.withColumn("run", F.col("idx") - F.row_number().over(order))
             .groupBy(*per_doc, "run")
             .agg(F.min("start").alias("start"), F.max("stop").alias("stop"),
-                 F.sum("words").alias("words"),
-                 F.min_by("keep_doc_id", "idx").alias("keep_doc_id"), F.count("*").alias("n")))
+                 (F.sum("words") + F.min_by("before", "idx")).alias("words"),
+                 F.min_by("keep_doc_id", "idx").alias("keep_doc_id"),
+                 (F.count("*") + 1).alias("n")))
     spans = runs.groupBy(per_doc).agg(
         F.sum("n").alias("n_repeated"),
         F.sort_array(F.collect_list(F.when(F.col("words") >= min_words, F.struct(
