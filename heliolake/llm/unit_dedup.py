@@ -24,6 +24,8 @@ PAIRS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), *[
     ("h1", pa.int64()), ("h2", pa.int64())])
 UNIT_PAIRS = ("doc_id long, row long, idx int, start int, stop int, before int, words int, "
               "h1 long, h2 long")
+#: A pair with more than this part of all repeated rows is joined by broadcast, not by a shuffle.
+HOT_PARTS = 1000
 #: Odd numbers that weigh the digests of a pair's two units.
 _FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -165,9 +167,9 @@ def dedup_units(docs: DataFrame, min_words: int = 25) -> DataFrame:
     gives no rows; other columns are ignored.
 
     Scale: digests combine within a task before they are grouped, so a pair that a third of
-    the rows share is one row per task; the join back to its occurrences is one that Spark
-    splits when skewed, and only pairs that repeat, and the few that a filter of fixed size takes
-    for such, are shuffled for it. Texts that lose a passage are shuffled once to meet their
+    the rows share is one row per task. Pairs that hold more than a thousandth of the repeated
+    rows, fewer than a thousand, meet their first place by broadcast; for the others only pairs that
+    repeat, and the few that a filter of fixed size takes for such, are shuffled. Texts that lose a passage are shuffled once to meet their
     spans; a like filter keeps most others out.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"),
@@ -176,12 +178,21 @@ def dedup_units(docs: DataFrame, min_words: int = 25) -> DataFrame:
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("idx").alias("idx"))
     digest = ["h1", "h2"]
     # narrow numbers first: which digests repeat at all; then their earliest place
-    several = written(found.groupBy(digest).agg(F.count("*").alias("n")).filter("n > 1")
-                      .select(digest), "units-several")
-    maybe = flagged(found, bit_filter(several, "h1"), "h1").filter("_maybe").select(*PAIRS.names)
-    again = written(maybe.join(several, digest), "units-repeated")
-    firsts = again.groupBy(digest).agg(F.min(rank).alias("first"))
-    later = again.join(firsts, digest).filter(rank > F.col("first"))
+    several = written(found.groupBy(digest).agg(F.count("*").alias("n")).filter("n > 1"),
+                      "units-several")
+    total = several.agg(F.sum("n")).first()[0] or 0
+    # each has more than a thousandth of the repeated rows: fewer than a thousand digests
+    hot = F.broadcast(several.filter(F.col("n") * HOT_PARTS > total)
+                      .select(*digest, F.lit(True).alias("hot")))
+    maybe = (flagged(found, bit_filter(several, "h1"), "h1").filter("_maybe")
+             .select(*PAIRS.names).join(hot, digest, "left"))
+    rare = maybe.filter("hot IS NULL").join(several.select(digest), digest)
+    again = written(maybe.filter("hot").unionByName(rare), "units-repeated")
+    firsts = written(again.groupBy("hot", *digest).agg(F.min(rank).alias("first")), "units-firsts")
+    met = [again.filter(part).drop("hot").join(side, digest) for part, side in (
+        ("hot", F.broadcast(firsts.filter("hot").drop("hot"))),
+        ("hot IS NULL", firsts.filter("hot IS NULL").drop("hot")))]
+    later = met[0].unionByName(met[1]).filter(rank > F.col("first"))
     per_doc = ["doc_id", "row"]
     later = later.groupBy(*per_doc, "idx").agg(  # repeated rows bring it twice
         *[F.max(c).alias(c) for c in ("start", "stop", "before", "words")],
