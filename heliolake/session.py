@@ -9,6 +9,10 @@ The settings below are the ones the data model depends on, not tuning knobs:
   must stay strings (decimal inference turns them into 730000 and 12).
 * AQE on, so shuffle partition counts adapt to the real data size at run time and skewed
   join partitions are split.
+
+``apply_defaults`` also sets ``parallelPartitionDiscovery.parallelism`` from the cores. Spark lists
+a landing with a folder per inverter in one job per parent folder and by default starts a task
+for each of up to 10,000 folders of it, so tasks would be as many as inverter-days.
 """
 
 from __future__ import annotations
@@ -29,11 +33,15 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.json.filterPushdown.enabled": "true",
 }
 
+LISTING_TASKS_PER_CORE = 4
+
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable defaults to an existing session."""
     for key, value in SESSION_DEFAULTS.items():
         spark.conf.set(key, value)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
+                   str(LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
     return spark
 
 

@@ -6,6 +6,7 @@ from heliolake.sinks.writers import (
     drop_previous_snapshot,
     land_bronze_json,
     replace_day,
+    spread_folders,
     truncate_then_load,
     write_day,
     write_sites_csv,
@@ -13,5 +14,5 @@ from heliolake.sinks.writers import (
 )
 
 __all__ = ["ConcurrentCommit", "DayTable", "drop_previous_snapshot", "land_bronze_json",
-           "read_records", "replace_day", "truncate_then_load", "write_day", "write_records",
-           "write_sites_csv", "write_window"]
+           "read_records", "replace_day", "spread_folders", "truncate_then_load", "write_day",
+           "write_records", "write_sites_csv", "write_window"]

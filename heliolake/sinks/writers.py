@@ -104,20 +104,35 @@ def write_window(df: DataFrame, path: str, start=None, end=None, days=None, with
     return gone
 
 
+def spread_folders(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of one folder in one task, the folders dealt over all tasks. For layouts with a
+    folder per inverter: there the time goes into making folders and files, not into bytes, and
+    tasks sized by bytes (``rebalance``) would leave all folders to one of them. A fixed count
+    is never coalesced."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def land_bronze_json(df: DataFrame, root: str,
                      partition_cols: Sequence[str] = ("dt", "site_id", "inv_id"),
-                     rebalance: bool = True) -> None:
+                     rebalance: bool = True, compression: str = "none") -> None:
     """Land documents as JSON Lines under ``dt=/site_id=/inv_id=`` (K2). Spark names the
     files itself (no ':' from a time of day, which Hadoop paths reject). Documents come
     from any source order, so they are rebalanced on the partition columns first (AQE
-    sizes the tasks and splits hot days). A folder that receives documents is replaced whole:
-    land whole inverter-days, as a part of a day would remove its other readings."""
-    if rebalance:
+    sizes the tasks and splits hot days); with a folder per inverter, the folders are spread
+    over the tasks. Tasks move their files into the staging folder of the write (committer
+    version 2), so the driver only puts whole folders in place. A folder that receives
+    documents is replaced whole: land whole inverter-days, as a part of a day would remove its
+    other readings. ``compression`` (``gzip``) suits folders of many documents; every reader
+    takes it from the file name."""
+    if rebalance and "inv_id" in partition_cols:
+        df = spread_folders(df, *partition_cols)
+    elif rebalance:
         df = df.hint("rebalance", *partition_cols)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
+       .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
        .partitionBy(*partition_cols)
-       .json(root))
+       .json(root, compression=compression))
 
 
 _STANDARD_CHARSETS = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32",
