@@ -24,8 +24,8 @@ from heliolake.operators.address import geocode_join, sites_csv_frame
 from heliolake.plans import pipeline as P
 from heliolake.plans.driver import (EVENTS_AS_OF, _customer_sites, _events_dt, _scratch,
                                     _supplier_lookup, inventory_bronze, sites_bronze, table)
-from heliolake.sinks import (drop_previous_snapshot, land_bronze_json, truncate_then_load,
-                             write_day, write_sites_csv)
+from heliolake.sinks import (drop_previous_snapshot, land_bronze_json, spread_folders,
+                             truncate_then_load, write_day, write_sites_csv)
 from heliolake.sources import (bronze_rejects, landed_partitions, merge_pages,
                                read_inventory_bronze, read_inverter_bronze, read_inverter_list,
                                read_pretty_json, read_raw_landing, read_site_map,
@@ -104,7 +104,7 @@ def q_pretty_overviews(spark, sf):
                    .alias("overview"))
     docs = table(spark, sf, "supplier").select(
         F.to_json(doc, {"pretty": "true"}).alias("value"), F.col("s_suppkey").alias("site_id"))
-    root = _write_text(docs, _scratch(spark, "pretty"), "site_id")
+    root = _write_text(spread_folders(docs, "site_id"), _scratch(spark, "pretty"), "site_id")
     schema = StructType([*schemas.OVERVIEW_BRONZE.fields, StructField("site_id", StringType())])
     return kpi.overview_kpis(read_pretty_json(spark, root, schema)).select(
         F.col("site_id").cast("bigint").alias("s_suppkey"), "Id", "UpdateTimeUtc", "Value")
@@ -221,9 +221,9 @@ def q_raw_landing(spark, sf):
     """One file per supplier, every seventh truncated, kept whole beside its path keys."""
     doc = F.to_json(F.struct("s_name", F.struct(F.col("s_acctbal").alias("v")).alias("m")))
     body = F.when(F.col("s_suppkey") % 7 == 0, F.substring(doc, 1, 9)).otherwise(doc)
-    root = _write_text(table(spark, sf, "supplier").select(
-        body.alias("value"), F.lit(DAY_1).alias("dt"), F.col("s_suppkey").alias("inv_id")),
-        _scratch(spark, "raw"), "dt", "inv_id")
+    docs = table(spark, sf, "supplier").select(
+        body.alias("value"), F.lit(DAY_1).alias("dt"), F.col("s_suppkey").alias("inv_id"))
+    root = _write_text(spread_folders(docs, "dt", "inv_id"), _scratch(spark, "raw"), "dt", "inv_id")
     return read_raw_landing(spark, root).select(
         F.col("inv_id").cast("bigint").alias("s_suppkey"), "dt", "is_json",
         F.variant_get("doc", "$.m.v", "double").alias("v"))

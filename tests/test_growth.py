@@ -44,6 +44,18 @@ def test_inverter_folders_are_written_by_many_tasks(spark, tmp_path):
     assert not glob.glob(f"{root}/.spark-staging*")
 
 
+def test_one_document_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    sf = str(tmp_path / "sf")
+    spark.range(0, 40, 1, 1).select(
+        F.col("id").alias("s_suppkey"), F.concat(F.lit("S"), "id").alias("s_name"),
+        F.col("id").cast("double").alias("s_acctbal")).write.parquet(f"{sf}/supplier.parquet")
+    monkeypatch.setattr(S, "_scratch", lambda spark, name: str(tmp_path / name))
+    for name, query in (("pretty", S.q_pretty_overviews), ("raw", S.q_raw_landing)):
+        found = query(spark, sf).select("s_suppkey").distinct().count()
+        files, tasks = _tasks(tmp_path / name, ".txt")
+        assert found == files == 40 and tasks > 1, name
+
+
 def test_listing_tasks_follow_the_cores(spark):
     apply_defaults(spark)
     got = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
