@@ -60,3 +60,13 @@ def test_listing_tasks_follow_the_cores(spark):
     apply_defaults(spark)
     got = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
     assert int(got) == LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def test_backlog_is_refreshed_once(spark, tmp_path, monkeypatch):
+    lay = P.Layout(*[str(tmp_path / x) for x in "bsge"], versioned=True, slots=4)
+    land_bronze_json(_docs(spark, 7), lay.b(P.INVERTERS))
+    whole, calls = change_stream.refresh_units, []
+    monkeypatch.setattr(change_stream, "refresh_units", lambda *a: (calls.append(1), whole(*a)))
+    change_stream.start_change_refresh(spark, lay, str(tmp_path / "c"), max_files_per_trigger=3).awaitTermination()
+    assert len(calls) == 1
+    assert P.read_window(spark, lay, lay.g(P.INVERTERS)).count() == 7
