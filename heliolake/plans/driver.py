@@ -193,7 +193,8 @@ def q_silver_from_landing(spark, sf):
     from heliolake.sinks import land_bronze_json
     from heliolake.sources import read_inverter_bronze
     root = _scratch(spark, "landing")
-    land_bronze_json(telemetry_bronze(table(spark, sf, "lineitem")), root, partition_cols=("dt",))
+    land_bronze_json(telemetry_bronze(table(spark, sf, "lineitem")), root, partition_cols=("dt",),
+                     compression="gzip")
     return silver_ops.flatten_telemetry(read_inverter_bronze(spark, root))
 
 

@@ -70,3 +70,19 @@ def test_backlog_is_refreshed_once(spark, tmp_path, monkeypatch):
     change_stream.start_change_refresh(spark, lay, str(tmp_path / "c"), max_files_per_trigger=3).awaitTermination()
     assert len(calls) == 1
     assert P.read_window(spark, lay, lay.g(P.INVERTERS)).count() == 7
+
+
+def test_day_folders_are_landed_compressed(spark, tmp_path, monkeypatch):
+    sf = str(tmp_path / "sf")
+    spark.range(2000).select(
+        F.lit(7).alias("l_suppkey"), F.col("id").alias("l_partkey"), (F.col("id") % 6 + 1).cast("int").alias("l_linenumber"),
+        F.lit("1996-03-01").cast("date").alias("l_shipdate"),
+        *[(F.col("id") % 9 + 1).cast("double").alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+    ).write.parquet(f"{sf}/lineitem.parquet")
+    monkeypatch.setattr(D, "_scratch", lambda spark, name: str(tmp_path / name))
+    got, want = D.q_silver_from_landing(spark, sf), D.q_silver_inverters(spark, sf)
+    assert got.count() == 2000 and got.select(*want.columns).exceptAll(want).count() == 0
+    packed = sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/landing/dt=*/*.json.gz"))
+    land_bronze_json(D.telemetry_bronze(spark.read.parquet(f"{sf}/lineitem.parquet")), str(tmp_path / "plain"), ("dt",))
+    plain = sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/plain/dt=*/*.json"))
+    assert 0 < packed < plain / 4
