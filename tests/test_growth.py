@@ -86,3 +86,20 @@ def test_day_folders_are_landed_compressed(spark, tmp_path, monkeypatch):
     land_bronze_json(D.telemetry_bronze(spark.read.parquet(f"{sf}/lineitem.parquet")), str(tmp_path / "plain"), ("dt",))
     plain = sum(os.path.getsize(f) for f in glob.glob(f"{tmp_path}/plain/dt=*/*.json"))
     assert 0 < packed < plain / 4
+
+
+def test_merge_of_states_moves_each_state_once(spark):
+    from heliolake.operators import agg_state
+    from heliolake.schemas import AGG_KEYS, AGG_MEASURES
+    cols = ["dt", *agg_state.UNIT, *AGG_KEYS, *AGG_MEASURES]
+    row = lambda day, site, inv, x: spark.range(1).select(
+        *[F.lit({"dt": day, "Local_site_id": site, "Local_inverter_id": inv}.get(c)).cast("string").alias(c)
+          if c not in AGG_MEASURES else F.lit(x).cast("double").alias(c) for c in cols])
+    old = row("a", "1", "x", 1.0).unionAll(row("a", None, "x", 2.0)).unionAll(row(None, "1", "x", 3.0)).unionAll(row("a", "2", "x", 4.0))
+    new = row("a", None, "x", 20.0).unionAll(row(None, "1", "x", 30.0)).unionAll(row("b", "9", "y", 50.0))
+    merged = agg_state.merge_states(agg_state.average_states(old), agg_state.average_states(new))
+    got = sorted(r[f"sum_{AGG_MEASURES[0]}"] for r in merged.collect())
+    assert got == [1.0, 4.0, 20.0, 30.0, 50.0]
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    # the states once with all sums, the late ones with all sums and once by their ids alone
+    assert plan.count(f"sum({AGG_MEASURES[0]}") == 2
