@@ -88,6 +88,27 @@ def test_day_folders_are_landed_compressed(spark, tmp_path, monkeypatch):
     assert 0 < packed < plain / 4
 
 
+def test_measures_are_rounded_as_one_column(spark, tmp_path):
+    fixtures.write_inverters(str(tmp_path))
+    from heliolake.operators import gold, silver
+    g = gold.gold_inverters(silver.flatten_telemetry(read_inverter_bronze(spark, f"{tmp_path}/inverters_data")))
+    plan = export_ops.export_timeseries(g)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("round(") == 1
+
+
+def test_to_measure_equals_round(spark):
+    rnd = random.Random(5)
+    xs = [0.0, -0.0, 0.0005, -0.0005, 1.0005, 2.5, 1.0045, -1.0045, 0.00049999999999999999, 1e9 + 0.0005, 999999999.9995,
+          1e12, -1e15, 1.7e308, 5e-324, float("nan"), float("inf"), float("-inf"), None]
+    xs += [rnd.uniform(-1, 1) * 10 ** rnd.randint(-6, 16) for _ in range(20000)]
+    xs += [rnd.randint(-10**7, 10**7) / 10000 for _ in range(20000)]  # every tenth one a tie
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for scale in (0, 3, 6):
+        a, b = to_measure("x", scale), F.round("x", scale)
+        text = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+        assert df.filter(text(a) != text(b)).collect() == [], scale
+
+
 def test_merge_of_states_moves_each_state_once(spark):
     from heliolake.operators import agg_state
     from heliolake.schemas import AGG_KEYS, AGG_MEASURES
