@@ -1,17 +1,20 @@
-"""SentencePiece BPE encoding by a table of each prefix's last token, and decoding.
+"""SentencePiece BPE encoding by each prefix's last token, and decoding.
 
-The encoding of every prefix of a text ends in exactly one token. A left-to-right pass asks an
-automaton for the pieces that end at each position and keeps the one that is compatible with the
-last token of the prefix before it; the ids are then read backwards from the end of the table.
+The encoding of every prefix of a text ends in exactly one token, and tokens of which each is
+compatible with the next are the encoding of their text. A left-to-right pass asks a trie for the
+longest piece that starts at the end of a prefix and takes the longest of its prefixes that is
+compatible with the prefix's last token; a prefix that none continues is left and not met again.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,11 +22,33 @@ from pyspark.sql import functions as F
 
 SPACE_MARK = "▁"
 #: Encodings of short segments are remembered per worker, in two generations of this many at most.
-MEMO = 1 << 17
+MEMO = 1 << 18
+#: Characters of the longest segment remembered.
+SHORT = 32
+
+
+class Memo(dict):
+    """Packed ids of segments as ``encode`` finds them, in two generations of ``MEMO`` at most."""
+
+    def __init__(self, encode: Callable[[str], list[int]]):
+        super().__init__()
+        self.encode = encode
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, segment: str) -> bytes:
+        found = self.older.get(segment)
+        if found is None:
+            found = array("i", self.encode(segment)).tobytes()
+        if len(segment) <= SHORT:
+            if len(self) >= MEMO:
+                self.older = dict(self)
+                self.clear()
+            self[segment] = found
+        return found
 
 
 class PieceTable:
-    """The pieces, merges and automaton of the sentencepiece BPE model at ``path``.
+    """The pieces, merges and trie of the sentencepiece BPE model at ``path``.
 
     A merge joins two neighbours whose text is a piece; better-scored pieces go first, leftmost
     among equals. Models must have byte pieces for characters without a piece. Pieces of equal
@@ -56,6 +81,7 @@ class PieceTable:
             raise ValueError("a piece holds a space mark after another character")
         self.run_ids = {len(p): plain[p] for p in late}
         self.mark = plain[SPACE_MARK]
+        self.reach = max(map(len, plain))
         self.length = [0] * size
         for p, i in plain.items():
             self.length[i] = len(p)
@@ -63,7 +89,7 @@ class PieceTable:
         self.rank = [-1] * size
         self.parts: list[tuple[int, int]] = [(0, 0)] * size
         self.whole: dict[tuple[int, int], int] = {}
-        self._seen: dict[tuple[int, int], bool] = {}
+        self._seen: dict[int, bool] = {}
         early = sorted((p for p in long if p not in late),
                        key=lambda p: (-model.get_score(plain[p]), plain[p]))
         for k, p in enumerate(early):
@@ -73,21 +99,30 @@ class PieceTable:
                 left, right = plain.get(p[:cut]), plain.get(p[cut:])
                 if left is not None and right is not None and p[:cut] not in late:
                     self.whole[left, right] = plain[p]
-        automaton = ahocorasick.Automaton()
-        for p in plain:
-            if len(p) == 1:
-                automaton.add_word(p, plain[p])
         for k, p in enumerate(early):
             self.parts[plain[p]] = self._last_merge(p, k, plain)
-            automaton.add_word(p, plain[p])
-        automaton.make_automaton()
-        self.automaton = automaton
+        # per prefix of a piece the longest piece it starts with, per piece the next shorter one
+        self.trie = ahocorasick.Automaton()
+        self.longest: dict[str, int] = {}
+        self.shorter = [0] * size
+        merged = {p: i for p, i in plain.items() if p not in late}
+        for p, i in merged.items():
+            self.trie.add_word(p, i)
+            found = 0
+            for end in range(1, len(p)):
+                found = self.longest[p[:end]] = merged.get(p[:end], found)
+            self.longest[p], self.shorter[i] = i, found
         # no piece spans the start of a run of marks, nor a line break unless a piece holds one
         ends = "" if any("\n" in p for p in plain) else "\n"
         self.segments = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}{ends}]*|[^{SPACE_MARK}{ends}]+"
                                    + (f"|{ends}+" if ends else ""))
-        self.memo: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        # the same cuts by splitting, for texts without runs of marks
+        self.cuts = [SPACE_MARK, *ends]
+        self.memo = Memo(self._encode_segment)
+
+    @property
+    def older(self) -> dict[str, bytes]:
+        return self.memo.older
 
     def _last_merge(self, piece: str, rank: int, plain: dict[str, int]) -> tuple[int, int]:
         """The two tokens whose merge makes ``piece``: the pair of earlier tokens that stand side
@@ -120,33 +155,40 @@ class PieceTable:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether the texts of two tokens, joined, are encoded as just these two tokens."""
-        found = self._seen.get((left, right))
+        key = left << 32 | right
+        found = self._seen.get(key)
         if found is None:
             if len(self._seen) >= 1 << 20:
                 self._seen.clear()
-            found = self._seen[left, right] = self._apart(left, right)
+            found = self._seen[key] = self._apart(left, right)
         return found
 
     def _encode_segment(self, text: str) -> list[int]:
-        n = len(text)
-        last = [0] * (n + 1)  # 0: start of the text, or a character that no piece holds
-        length, compatible = self.length, self.compatible
-        for end, piece in self.automaton.iter(text):
-            if not last[end + 1]:
-                before = last[end + 1 - length[piece]]
-                if not before or compatible(before, piece):
-                    last[end + 1] = piece
+        length, shorter, seen = self.length, self.shorter, self._seen
         ids: list[int] = []
-        at = n
-        while at:
-            piece = last[at]
-            if piece:
-                ids.append(piece)
-                at -= length[piece]
-            else:
-                at -= 1
-                ids.extend(self.bytes[b] for b in reversed(text[at].encode()))
-        ids.reverse()
+        at, n, last = 0, len(text), 0  # 0 and bytes: compatible with every token after them
+        left: set[int] = set()  # prefixes whose last token no piece continues
+        while at < n:
+            known = self.trie.longest_prefix(text[at:at + self.reach])
+            if not known:  # no piece holds this character
+                ids += [self.bytes[b] for b in text[at].encode()]
+                at, last = at + 1, 0
+                continue
+            piece = self.longest[text[at:at + known]]
+            while True:
+                end = at + length[piece]
+                if end not in left:
+                    fits = seen.get(last << 32 | piece)
+                    if fits or fits is None and self.compatible(last, piece):
+                        ids.append(piece)
+                        at, last = end, piece
+                        break
+                piece = shorter[piece]
+                while not piece:  # back to the prefix before, with a shorter token
+                    left.add(at)
+                    at -= length[last]
+                    piece = shorter[ids.pop()]
+                    last = ids[-1] if ids else 0
         if self.run_ids and text.startswith(SPACE_MARK * 2):
             k = next((k for k, i in enumerate(ids) if i != self.mark), len(ids))
             ids[:k] = self._merge_run(k)
@@ -174,19 +216,18 @@ class PieceTable:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text, without begin or end ids; the model's own normaliser runs first."""
-        ids: list[int] = []
-        memo = self.memo
-        for segment in self.segments.findall(self.model.normalize(text)):
-            found = memo.get(segment)
-            if found is None:
-                found = self.older.get(segment) or self._encode_segment(segment)
-                if len(segment) <= 64:
-                    if len(memo) >= MEMO:
-                        self.older, self.memo = memo, {}
-                        memo = self.memo
-                    memo[segment] = found
-            ids += found
-        return ids
+        return array("i", self.encode_packed(text)).tolist()
+
+    def encode_packed(self, text: str) -> bytes:
+        """The ids of ``encode`` as 32-bit integers of this machine's byte order."""
+        text = self.model.normalize(text)
+        if SPACE_MARK * 2 in text or "\0" in text:
+            segments = self.segments.findall(text)
+        else:
+            for cut in self.cuts:
+                text = text.replace(cut, f"\0{cut}")
+            segments = text.split("\0")
+        return b"".join(map(self.memo.__getitem__, segments))
 
     def decode(self, ids: list[int]) -> str:
         return self.model.decode(ids)
@@ -217,11 +258,15 @@ def _encode(path: str):
         table = piece_table(path)
         for batch in batches:
             for at, texts in text_chunks(batch):
-                ids = [table.encode(t) for t in texts]
+                packed = [table.encode_packed(t) for t in texts]
+                ends = list(accumulate((len(p) // 4 for p in packed), initial=0))
+                ids = pa.Array.from_buffers(pa.int32(), ends[-1],
+                                            [None, pa.py_buffer(b"".join(packed))])
+                decoded = [table.decode(array("i", p).tolist()) for p in packed]
                 yield pa.record_batch([
-                    batch.column("doc_id").slice(at, len(ids)),
-                    pa.array(ids, pa.list_(pa.int32())),
-                    pa.array([table.decode(x) for x in ids], pa.string())],
+                    batch.column("doc_id").slice(at, len(packed)),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids),
+                    pa.array(decoded, pa.string())],
                     names=["doc_id", "ids", "decoded"])
     return run
 

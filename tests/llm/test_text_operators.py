@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -78,6 +79,41 @@ def test_memo_is_bounded(monkeypatch):
     assert len(small.memo) <= 10 and len(small.older) <= 10
 
 
+def test_segments_take_few_steps():
+    """A segment not met before is looked up about once a token, not at every character; what is
+    remembered is packed ids of short segments."""
+    table = piece_encoder.PieceTable(MODEL)
+    rng, seen, steps = random.Random(11), [], []
+    parts = ["tion", "ent", "heit", "schen", "ación", "elle", "re", "an", "th", "ou", "ß", "✈", "$$$"]
+    words = list({"".join(rng.choices(parts, k=rng.randint(2, 5))) for _ in range(3000)})
+
+    class Trie:
+        def longest_prefix(self, text):
+            steps.append(text)
+            return trie.longest_prefix(text)
+    trie = table.trie
+    table.trie = Trie()
+    for word in words:
+        ids = table.encode(word)
+        assert ids == table.model.encode(word)
+        seen += ids
+    assert len(steps) < 2 * len(seen) and len(steps) < 0.7 * sum(len(w) + 1 for w in words)
+    before = len(steps)
+    assert array("i", table.encode_packed(" ".join(words))).tolist() == table.model.encode(" ".join(words))
+    assert len(steps) == before
+    assert all(isinstance(ids, bytes) and len(s) <= piece_encoder.SHORT for s, ids in table.memo.items())
+
+
+def test_segments_are_cut_alike_by_split_and_by_pattern(pieces):
+    """Texts with runs of marks or with U+0000 are cut by the pattern, others by splitting."""
+    rng = random.Random(12)
+    for space in (" ", "  ", "\0", " ▁"):
+        for _ in range(300):
+            text = "".join(rng.choices(["a", "Haus", "\n", "\n\n", space, " ", "é", "✈", "the", "ing"], k=12))
+            assert pieces.encode(text) == pieces.model.encode(text)
+            assert pieces.decode(pieces.encode(text)) == pieces.model.decode(pieces.model.encode(text))
+
+
 def test_models_that_do_not_fit_are_refused(monkeypatch, pieces):
     class Other:
         def __init__(self, **_):
