@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import contextlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from operator import itemgetter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,9 @@ PAIR = 1 << 24
 #: Units of text whose ids a worker remembers, in two generations of this many at most.
 MEMO = 1 << 18
 #: Ids of a unit that the tokenizers do not spell alike.
-UNLIKE = (b"", b"", b"")
+UNLIKE = b""
+#: Tokens of a one-to-one stretch that are compared one by one before and after whole blocks.
+STEP = 16
 #: Links of the documents that are counted together, about (a longer document is one block).
 BLOCK_LINKS = 1 << 19
 
@@ -49,26 +52,34 @@ def align(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int,
     a stretch of one-to-one groups if its first ends agree; any other is one irregular group."""
     i, j, n = 0, 0, len(ends_a)
     while i < n:
-        if ends_a[i] == ends_b[j]:
-            a, b, width, growing = i, j, 1, True
-            i, j = i + 1, j + 1
-            while width:  # grow while whole blocks agree at this shift, then halve to the edge
-                block = ends_a[i:i + width]
-                if block and block == ends_b[j:j + width]:
-                    i, j = i + len(block), j + len(block)
-                    width = 2 * width if growing else width // 2
-                else:
-                    growing, width = False, width // 2
-            yield a, i, b, j
+        a, b, x, y = i, j, ends_a[i], ends_b[j]
+        if x == y:
+            shift, stop, width = j - i, min(i + STEP, n), STEP
+            i += 1
+            while i < stop and ends_a[i] == ends_b[i + shift]:
+                i += 1
+            if i == stop:  # grow while whole blocks agree at this shift, then halve to the edge
+                while (block := ends_a[i:i + width]) and block == ends_b[i + shift:
+                                                                         i + shift + width]:
+                    i, width = i + len(block), 2 * width
+                while width > STEP:
+                    width //= 2
+                    block = ends_a[i:i + width]
+                    if block == ends_b[i + shift:i + shift + width]:
+                        i += len(block)
+                while i < n and ends_a[i] == ends_b[i + shift]:
+                    i += 1
+            j = i + shift
         else:
-            a, b = i, j
-            while ends_a[i] != ends_b[j]:
-                if ends_a[i] < ends_b[j]:
+            while x != y:
+                if x < y:
                     i += 1
+                    x = ends_a[i]
                 else:
                     j += 1
+                    y = ends_b[j]
             i, j = i + 1, j + 1
-            yield a, i, b, j
+        yield a, i, b, j
 
 
 class TokenPair:
@@ -83,23 +94,25 @@ class TokenPair:
         n = self.a.limit  # tried at the starts of runs only: linear time
         self.long_run = re.compile(rf"(?<!\S)\S{{{n}}}|(?<!\s)\s{{{n}}}")
         self.b = SentencePieceProcessor(model_file=pieces)
-        self.bytes_a = [b""] * self.a.fast.n_vocab
+        self.bytes_a = np.full(self.a.fast.n_vocab, b"", object)
         for i in range(self.a.fast.n_vocab):
             with contextlib.suppress(KeyError):  # ids may have gaps
                 self.bytes_a[i] = self.a.fast.decode_single_token_bytes(i)
-        self.bytes_b = [self._piece_bytes(i) for i in range(self.b.vocab_size())]
+        self.bytes_b = np.array([self._piece_bytes(i) for i in range(self.b.vocab_size())], object)
         if max(len(self.bytes_a), len(self.bytes_b)) >= PAIR:
             raise ValueError(f"token ids must stay below {PAIR}")
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64)
                                     for t in (self.bytes_a, self.bytes_b))
-        n = max(len(self.bytes_a), len(self.bytes_b))
-        self.inner, self.last_a, self.last_b = ([f"{i}{mark}" for i in range(n)] for mark in ",|;")
+        self.n_ids = n = max(len(self.bytes_a), len(self.bytes_b))
+        #: Ids as text: inside a group, last of A's in it, last of B's in it.
+        self.marked = np.array([f"{i}{mark}" for mark in ",|;" for i in range(n)], object)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.mark = self.b.piece_to_id(SPACE_MARK)
         self.by_unit = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in pieces)
         self.wide, self.border = re.compile(r"\s "), re.compile(r"(?<=\S)(?= )")
-        self.memo: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
+        #: Ids of A, then those of B inverted (below 0), as 32-bit integers.
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -118,7 +131,7 @@ class TokenPair:
             units = [u[1:] for u in self.border.split(" " + text)]
         return units
 
-    def _learn(self, units: set[str]) -> dict[str, tuple[bytes, bytes]]:
+    def _learn(self, units: set[str]) -> dict[str, bytes]:
         """Ids of both tokenizers for units that are not remembered: encoded as one text, whose
         ids are cut at the units' ends, or one by one if a unit ends with white space (the last
         of its text) or is not spelt alike."""
@@ -135,41 +148,51 @@ class TokenPair:
                 self.memo[unit] = entry
         return new
 
-    def _spelt(self, units: list[str]) -> dict[str, tuple[bytes, bytes]]:
+    def _spelt(self, units: list[str]) -> dict[str, bytes]:
         text = " ".join(units)
         raw = (" " + text).encode()
         a = self._ids_a(" " + text)
-        b = np.array(self.b.encode(text) if text else [self.mark], np.int32)
-        if (b"".join(map(self.bytes_a.__getitem__, a.tolist())) != raw
-                or b"".join(map(self.bytes_b.__getitem__, b.tolist())) != raw):
+        b = np.array(array("i", self.b.encode(text) if text else [self.mark]), np.int32)
+        if (b"".join(self.bytes_a[a].tolist()) != raw
+                or b"".join(self.bytes_b[b].tolist()) != raw):
             return dict.fromkeys(units, UNLIKE)
-        ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        ends = np.cumsum(list(map(len, units if text.isascii() else map(str.encode, units)))) \
+            + np.arange(1, len(units) + 1)
         cut_a, cut_b = (np.searchsorted(size[ids].cumsum(), ends) + 1
                         for size, ids in ((self.size_a, a), (self.size_b, b)))
-        raw_a, raw_b = a.tobytes(), b.tobytes()
+        raw_a, raw_b = a.tobytes(), (~b).tobytes()
         new, x, y = {}, 0, 0
         for unit, p, q in zip(units, (4 * cut_a).tolist(), (4 * cut_b).tolist(), strict=True):
-            new[unit] = raw_a[x:p], raw_b[y:q]
+            new[unit] = raw_a[x:p] + raw_b[y:q]
             x, y = p, q
         return new
 
-    def tokens(self, text: str) -> tuple[list[int], list[int], list[int], list[int]]:
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids and byte ends of both; empty where either does not spell space and text."""
-        none: tuple = [], [], [], []
+        none = (np.empty(0, np.int32),) * 2 + (np.empty(0, np.int64),) * 2
         if not text:
             return none
         units = self._units(text)
         found = list(map(self.memo.get, units))
-        if None in found:
-            older = self.older
-            found = [e or older.get(u) for e, u in zip(found, units, strict=True)]
-            new = self._learn({u for e, u in zip(found, units, strict=True) if e is None})
-            found = [e or new[u] for e, u in zip(found, units, strict=True)]
-        if UNLIKE in found:
+        missed = [k for k, e in enumerate(found) if e is None]
+        if missed:
+            memo, older, left = self.memo, self.older, []
+            for k in missed:
+                unit = units[k]
+                found[k] = e = older.get(unit)
+                if e is None:
+                    left.append(k)
+                elif len(memo) < MEMO:  # still in use: outlives the next generation
+                    memo[unit] = e
+            new = self._learn({units[k] for k in left})
+            for k in left:
+                found[k] = new[units[k]]
+        if not all(found):  # some unit is not spelt alike
             return none
-        a, b = (np.frombuffer(b"".join(map(itemgetter(k), found)), np.int32) for k in (0, 1))
-        return (a.tolist(), b.tolist(), self.size_a[a].cumsum().tolist(),
-                self.size_b[b].cumsum().tolist())
+        ids = np.frombuffer(b"".join(found), np.int32)
+        of_a = ids >= 0
+        a, b = ids[of_a], ~ids[~of_a]
+        return a, b, self.size_a[a].cumsum(), self.size_b[b].cumsum()
 
     def _ids_a(self, text: str) -> np.ndarray:
         if len(text) > self.a.limit and self.long_run.search(text):
@@ -180,42 +203,42 @@ class TokenPair:
     def aligned(self, text: str) -> tuple[int, int, int, str, np.ndarray]:
         """Tokens of A and of B, groups, the groups as text, and the pair of each link."""
         a, b, ends_a, ends_b = self.tokens(text)
-        left: list[int] = []
-        right: list[int] = []
-        parts: list[str] = []  # ids, each with the mark that follows it
-        n_groups = 0
-        inner_a, last_a, inner_b, last_b = (list(map(t.__getitem__, ids)) for t, ids in (
-            (self.inner, a), (self.last_a, a), (self.inner, b), (self.last_b, b)))
-        for i, i_stop, j, j_stop in align(ends_a, ends_b):
-            p, q = i_stop - i, j_stop - j
-            if ends_a[i] == ends_b[j]:
-                left += a[i:i_stop]
-                right += b[j:j_stop]
-                pairs = [""] * (2 * p)
-                pairs[::2], pairs[1::2] = last_a[i:i_stop], last_b[j:j_stop]
-                parts += pairs
-                n_groups += p
-                continue
-            n_groups += 1
-            parts += inner_a[i:i_stop - 1]
-            parts.append(last_a[i_stop - 1])
-            parts += inner_b[j:j_stop - 1]
-            parts.append(last_b[j_stop - 1])
-            if p == 1:
-                left += [a[i]] * q
-                right += b[j:j_stop]
-            elif q == 1:
-                left += a[i:i_stop]
-                right += [b[j]] * p
-            else:
-                while i < i_stop:  # both end together, so both run out together
-                    left.append(a[i])
-                    right.append(b[j])
-                    x, y = ends_a[i], ends_b[j]
-                    i += x <= y
-                    j += y <= x
-        links = np.array(left, np.int64) * PAIR + np.array(right, np.int64)
-        return len(a), len(b), n_groups, "".join(parts)[:-1], links
+        spans = np.fromiter(chain.from_iterable(align(ends_a.tolist(), ends_b.tolist())),
+                            np.int64).reshape(-1, 4)
+        i, i_stop, j, j_stop = spans[ends_a[spans[:, 0]] != ends_b[spans[:, 2]]].T
+        odd_a, inner_a = _covered(len(a), i, i_stop)
+        odd_b, inner_b = _covered(len(b), j, j_stop)
+        n_groups = len(a) - np.count_nonzero(inner_a)
+
+        sizes = np.empty(2 * n_groups, np.int64)  # tokens of A and of B, group by group
+        sizes[::2] = np.diff(np.flatnonzero(~inner_a), prepend=-1)
+        sizes[1::2] = np.diff(np.flatnonzero(~inner_b), prepend=-1)
+        of_a = np.repeat(np.arange(2 * n_groups) % 2 == 0, sizes)
+        marked = np.empty(len(of_a), np.int64)
+        marked[of_a] = a + np.where(inner_a, 0, self.n_ids)
+        marked[~of_a] = b + np.where(inner_b, 0, 2 * self.n_ids)
+        groups = "".join(self.marked[marked].tolist())[:-1]
+
+        # A link ends where either of its tokens ends: in an irregular group at each end of A and
+        # at each of B but the last, which is A's last as well.
+        of_a = np.repeat([True, False], (np.count_nonzero(odd_a), np.count_nonzero(inner_b)))
+        order = np.concatenate([ends_a[odd_a], ends_b[inner_b]]).argsort(kind="stable")
+        past_b = np.concatenate([~inner_a[odd_a], np.ones(len(of_a) - len(ends_a[odd_a]), bool)])
+        of_a, past_b = of_a[order], past_b[order]
+        left = np.concatenate([a[~odd_a], a[odd_a][of_a.cumsum() - of_a]])
+        right = np.concatenate([b[~odd_b], b[odd_b][past_b.cumsum() - past_b]])
+        return len(a), len(b), n_groups, groups, left.astype(np.int64) * PAIR + right
+
+
+def _covered(n: int, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of n tokens lie in one of the groups start..stop-1, and which of them not last."""
+    step = np.zeros(n + 1, np.int8)
+    step[start] += 1
+    step[stop] -= 1
+    held = step[:-1].cumsum(dtype=np.int8).astype(bool)
+    inner = held.copy()
+    inner[stop - 1] = False
+    return held, inner
 
 
 @lru_cache(maxsize=2)
@@ -232,7 +255,12 @@ def _block(block_id: int, rows: list[tuple]) -> pa.RecordBatch:
     links = np.concatenate([r[5] for r in rows])
     size = np.array([len(r[5]) for r in rows])
     owner = np.repeat(np.arange(len(rows)), size)
-    pairs, at = np.unique(links, return_inverse=True)
+    found = pa.array(links).dictionary_encode()  # hashed: only the distinct pairs are sorted
+    pairs = found.dictionary.to_numpy()
+    order = pairs.argsort()
+    pairs, place = pairs[order], np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    at = place[found.indices.to_numpy()]
     held, times = np.unique(owner * max(len(pairs), 1) + at, return_counts=True)
     owner, at = np.divmod(held, max(len(pairs), 1))
     docs = np.bincount(at, minlength=len(pairs)).astype(np.int32)

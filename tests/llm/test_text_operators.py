@@ -290,6 +290,29 @@ def test_long_stretches_are_jumped():
     assert Counted.reads < 100
 
 
+def test_units_in_use_are_learned_once(monkeypatch):
+    monkeypatch.setattr(token_alignment, "MEMO", 60)
+    pair = token_alignment.TokenPair(queries.TOKENIZER, queries.PATTERN, MODEL)
+    learned, learn = collections.Counter(), pair._learn
+    pair._learn = lambda units: learned.update(units) or learn(units)
+    texts = [f"usual words x{k}y x{k}z end" for k in range(200)]
+    got = [pair.aligned(t)[:4] for t in texts]
+    assert learned["words"] == learned["end"] == 1 and learned["x7y"] == 1
+    assert max(len(pair.memo), len(pair.older)) <= 60
+    assert got == [x[:4] for x in _aligned(texts)]
+
+
+def test_links_of_irregular_groups():
+    pair = token_alignment.token_pair(queries.TOKENIZER, queries.PATTERN, MODEL)
+    texts = ["Donaudampfschifffahrtsgesellschaft épées 1234567890 naïveté", "ñ", "中文字 aé\n\n\tb  c",
+             "xqzjkv wvutsrq zyxw, Überraschungsgäste"]
+    for text, want in zip(texts, _aligned(texts), strict=True):
+        *head, links = pair.aligned(text)
+        assert (head, len(links)) == (list(want[:4]), len(want[4]))
+        linked = [(int(p) // token_alignment.PAIR, int(p) % token_alignment.PAIR) for p in links]
+        assert collections.Counter(linked) == collections.Counter(want[4])
+
+
 def _aligned(texts):
     """Per text: tokens of A and B, groups, links, by comparing all byte ranges."""
     a_model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
