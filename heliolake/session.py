@@ -31,6 +31,8 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.json.filterPushdown.enabled": "true",
+    "spark.sql.files.openCostInBytes": "64k",
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "8",
 }
 
 LISTING_TASKS_PER_CORE = 4

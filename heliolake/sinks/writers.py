@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from heliolake.sinks.document_sink import land_documents
 from heliolake.sources.tables import day_folders, hadoop_path
 
 
@@ -123,11 +124,15 @@ def land_bronze_json(df: DataFrame, root: str,
     version 2), so the driver only puts whole folders in place. A folder that receives
     documents is replaced whole: land whole inverter-days, as a part of a day would remove its
     other readings. ``compression`` (``gzip``) suits folders of many documents; every reader
-    takes it from the file name."""
+    takes it from the file name. Folders per inverter on a local file system are written by
+    ``land_documents``, to the same rules."""
     if rebalance and "inv_id" in partition_cols:
         df = spread_folders(df, *partition_cols)
     elif rebalance:
         df = df.hint("rebalance", *partition_cols)
+    fs, p = hadoop_path(df.sparkSession, root)
+    if "inv_id" in partition_cols and compression == "none" and fs.getUri().getScheme() == "file":
+        return land_documents(df, fs.makeQualified(p).toUri().getPath(), *partition_cols)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")

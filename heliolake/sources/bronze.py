@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from heliolake import schemas
-from heliolake.sources.tables import day_filter, day_folders, day_range_filter
+from heliolake.sources.tables import day_filter, day_folders, day_range_filter, path_keys, path_value
 
 if TYPE_CHECKING:
     from heliolake.sinks.day_table import DayTable
 
+#: Columns of Spark's ``binaryFile`` source.
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def read_json_documents(spark: SparkSession, root: str, dt=None, start=None, end=None,
                         days=None) -> DataFrame:
@@ -43,6 +46,11 @@ def read_json_documents(spark: SparkSession, root: str, dt=None, start=None, end
               .filter(F.col("body").rlike(r"\S")))
 
 
+def _flat(spark: SparkSession):
+    """A reader of all files below a folder that leaves the path columns to ``path_value``."""
+    return spark.read.option("recursiveFileLookup", "true")
+
+
 def _split_schema(schema: StructType, path_columns) -> StructType:
     return StructType([f for f in schema.fields if f.name not in path_columns])
 
@@ -92,7 +100,8 @@ def landed_partitions(spark: SparkSession, root: str,
                       keys: Sequence[str] = ("dt", "site_id", "inv_id")) -> DataFrame:
     """Distinct path keys of the files under ``root`` (C4 against real folders). Only the
     listing is read: no file is opened."""
-    return spark.read.format("binaryFile").load(root).select(*keys).distinct()
+    files = _flat(spark).format("binaryFile").schema(BINARY_FILE).load(root)
+    return files.select(*[path_value(k, "path") for k in keys]).distinct()
 
 
 def _read_json(spark: SparkSession, root: str, schema: StructType,
@@ -115,7 +124,12 @@ def _read_json(spark: SparkSession, root: str, schema: StructType,
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     folders = day_folders(spark, root, dt, start, end, days=days)
-    if folders is None:
+    keys = path_keys(spark, root, folders)
+    if "inv_id" in keys:
+        inner = _split_schema(schema, keys)
+        df = (reader.schema(inner).option("recursiveFileLookup", "true").json(folders or root)
+              .select(*inner.names, *[path_value(k) for k in keys]))
+    elif folders is None:
         df = reader.json(root)
     elif folders:
         df = reader.json(folders)

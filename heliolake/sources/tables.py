@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Folder value for NULL and empty partition values.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _lit_day(d) -> Column:
     if isinstance(d, Column):
         return d
@@ -97,6 +101,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def path_keys(spark: SparkSession, root: str, folders: Sequence[str] | None = None) -> list[str]:
+    """Keys of the ``key=value`` folders above the first file below ``root`` (or its ``folders``)."""
+    _, top = hadoop_path(spark, root)
+    depth = len(top.toUri().getPath().rstrip("/").split("/"))
+    for folder in folders or [root]:
+        fs, p = hadoop_path(spark, folder)
+        files = fs.listFiles(p, True) if fs.exists(p) else None  # goes down folder by folder
+        while files is not None and files.hasNext():
+            *above, name = files.next().getPath().toUri().getPath().split("/")[depth:]
+            hidden = [x for x in (*above, name) if x[0] == "." or (x[0] == "_" and "=" not in x)]
+            if not hidden:
+                return [x.split("=", 1)[0] for x in above if "=" in x]
+    return []
+
+
+def path_value(key: str, path: str = "_metadata.file_path") -> Column:
+    """The value of ``key=value`` in a file's path, as Spark's partition discovery gives it.
+
+    For a landing with a folder per inverter: discovery guesses at the type of each folder's value by
+    failed parses and resolves the values of n folders in time that grows as n * n, on the driver.
+    Here each task takes the values out of its own files' paths, and filters on them still leave
+    files unopened. ``_metadata.file_path`` is URL-encoded, another ``path`` is taken as it is."""
+    found = F.regexp_extract(path, f"^.*/{key}=([^/]*)/", 1)
+    for _ in range(2 if path == "_metadata.file_path" else 1):
+        found = F.coalesce(F.try_url_decode(F.replace(found, F.lit("+"), F.lit("%2B"))), found)
+    return F.when(~found.isin("", NO_VALUE), found).alias(key)
+
+
 def day_folders(spark: SparkSession, root: str, dt=None, start=None, end=None,
                 column: str = "dt", days=None) -> list[str] | None:
     """Partition folders of ``root`` inside the window (one day, ``[start, end)`` or an
