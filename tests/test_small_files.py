@@ -6,9 +6,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from heliolake.plans import pipeline as P
 from heliolake.session import apply_defaults
 from heliolake.sinks import land_bronze_json
 from heliolake.sources import landed_partitions, read_inverter_bronze
+from heliolake.streaming import start_change_refresh
 
 KEYS = ["dt", "site_id", "inv_id"]
 ODD = ["a b", "a+b", "x:y", "50%", "ü/é", "0012", "73E4", None, "a%2Fb", "[q]", "=", "t\tt"]
@@ -95,6 +97,17 @@ def test_filter_on_path_values_leaves_files_unopened(spark, tmp_path):
     assert plan.collectLeaves().head().metrics().get("numFiles").get().value() == 1
 
 
+def test_change_stream_takes_ids_from_paths(spark, tmp_path):
+    lay = P.Layout(*[str(tmp_path / x) for x in "bsge"], versioned=True, slots=4)
+    ids = [x for x in ODD if x]
+    land_bronze_json(_docs(spark, ids), lay.b(P.INVERTERS))
+    query = start_change_refresh(spark, lay, str(tmp_path / "c"))
+    query.awaitTermination()
+    assert "ReadSchema: struct<path:string>" in query._jsq.explainInternal(True)
+    gold = P.read_window(spark, lay, lay.g(P.INVERTERS))
+    assert sorted(r[0] for r in gold.select("Local_inverter_id").collect()) == sorted(ids)
+
+
 def test_small_files_share_tasks(spark, tmp_path):
     apply_defaults(spark)
     root = str(tmp_path / "land")
