@@ -37,12 +37,18 @@ def read_json_documents(spark: SparkSession, root: str, dt=None, start=None, end
     folders = day_folders(spark, root, dt, start, end, days=days)
     if folders == []:
         return spark.createDataFrame([], "body string, source_file string, dt string")
-    df = _days(reader.text(folders or root), dt, start, end, days)
+    keys = path_keys(spark, root, folders)
+    if "inv_id" in keys:
+        read = _flat(spark).option("lineSep", "\n{").schema("value string").text(folders or root)
+        df = read.select("value", "_metadata", *[path_value(k) for k in keys])
+    else:
+        df = reader.text(folders or root)
+    df = _days(df, dt, start, end, days)
     cut = F.col("value").rlike(r'^\s*["}]')  # the separator took the opening brace
     whole = F.when(cut, F.concat(F.lit("{"), "value")).otherwise(F.col("value"))
     return (df.select(F.rtrim(whole, F.lit(" \n\r\t")).alias("body"),
                       F.col("_metadata.file_path").alias("source_file"),
-                      *[c for c in df.columns if c != "value"])
+                      *[c for c in df.columns if c not in ("value", "_metadata")])
               .filter(F.col("body").rlike(r"\S")))
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from heliolake.plans import pipeline as P
 from heliolake.session import apply_defaults
-from heliolake.sinks import land_bronze_json
-from heliolake.sources import landed_partitions, read_inverter_bronze
+from heliolake.sinks import DayTable, land_bronze_json
+from heliolake.sources import (compact_landing, landed_partitions, read_compacted,
+                               read_inverter_bronze, read_json_documents)
 from heliolake.streaming import start_change_refresh
 
 KEYS = ["dt", "site_id", "inv_id"]
@@ -83,7 +84,7 @@ def test_landed_folders_are_read_without_partition_discovery(spark, tmp_path):
     docs = read_inverter_bronze(spark, root)
     assert docs.columns == ["data", *KEYS]
     assert _rows(docs) == _rows(spark.read.schema(docs.schema).json(plain).select(*docs.columns))
-    for df in (found, docs):
+    for df in (found, docs, read_json_documents(spark, root)):
         assert _path_columns_of_scan(df) == 0
 
 
@@ -97,6 +98,15 @@ def test_filter_on_path_values_leaves_files_unopened(spark, tmp_path):
     assert plan.collectLeaves().head().metrics().get("numFiles").get().value() == 1
 
 
+def test_compaction_keeps_odd_ids(spark, tmp_path):
+    root, table = str(tmp_path / "land"), DayTable(spark, str(tmp_path / "docs"))
+    land_bronze_json(_docs(spark, ODD), root)
+    land_bronze_json(_docs(spark, ["z"], 7.0, "2024-03-02"), root)
+    compact_landing(spark, root, table, start="2024-03-01", end="2024-03-03")
+    want = read_inverter_bronze(spark, root)
+    assert _rows(read_compacted(table).select(*want.columns)) == _rows(want)
+
+
 def test_change_stream_takes_ids_from_paths(spark, tmp_path):
     lay = P.Layout(*[str(tmp_path / x) for x in "bsge"], versioned=True, slots=4)
     ids = [x for x in ODD if x]
